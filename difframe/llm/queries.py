@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from difframe.llm.leaks import renamed_leaks, verbatim_leaks
 from difframe.llm.tokenize import encode_corpus
 from difframe.llm.topn import top_n_per_group
 from difframe.runtime import table
@@ -46,3 +47,19 @@ def p2_found(spark, sf_dir):
 def p6_ids(spark, sf_dir):
     """Ids of every document's text by the 50k byte-level vocabulary."""
     return encode_corpus(table(spark, sf_dir, "documents"))
+
+
+def _notebooks(spark, sf_dir):
+    return table(spark, sf_dir, "documents"), table(spark, sf_dir, "notebook_cells")
+
+
+@query("p7_found")
+def p7_found(spark, sf_dir):
+    """Documents with a verbatim passage of an evaluation item."""
+    return verbatim_leaks(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+@query("p7_renamed")
+def p7_renamed(spark, sf_dir):
+    """Passages that follow an evaluation item with other numbers, names or units."""
+    return renamed_leaks(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items"))
