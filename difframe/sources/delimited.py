@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Lines tried at once by the bulk parser.
-BLOCK_LINES = 2048
+#: Most lines tried at once by the bulk parser.  A block that passes doubles the next one, a failing one halves it.
+BLOCK_LINES = 4096
+#: A failing block of at most this many lines is read strictly, line by line.
+STRICT_LINES = 8
 
 BLANKS = " \t\r\n\x0b\x0c"
 NULL_MARKS = ("", ".", "?")
@@ -132,16 +134,16 @@ def _read_block(lines, fields: tuple[Field, ...]):
 
 
 def _bisect(lines, fields: tuple[Field, ...]):
-    """Yields (columns, reasons or None) over the block in order."""
+    """Yields (columns, reason of each line) over the block in order."""
     import pyarrow as pa
 
     cols = _read_block(lines, fields)
     if cols is not None:
-        yield cols, None
-    elif len(lines) == 1:
-        values, reason = read_strictly(lines[0].as_py(), fields)
+        yield cols, [None] * len(lines)
+    elif len(lines) <= STRICT_LINES:
+        read = [read_strictly(x, fields) for x in lines.to_pylist()]
         arrow = {"string": pa.string(), "int": pa.int32(), "number": pa.float64()}
-        yield [pa.array([None if reason else v], arrow[f.kind]) for v, f in zip(values, fields, strict=True)], reason
+        yield [pa.array([None if reason else values[i] for values, reason in read], arrow[f.kind]) for i, f in enumerate(fields)], [reason for _, reason in read]
     else:
         half = len(lines) // 2
         yield from _bisect(lines.slice(0, half), fields)
@@ -166,14 +168,19 @@ def load_lines(df: DataFrame, line_col: str, keys: list[str], fields: tuple[Fiel
     def parse(batches):
         import pyarrow as pa
 
+        size = min(block, 256)
         for batch in batches:
             got, reasons = [[] for _ in fields], []
-            lines = batch.column(len(keys))
-            for start in range(0, len(lines), block):
-                for cols, reason in _bisect(lines.slice(start, block), fields):
+            lines, start = batch.column(len(keys)), 0
+            while start < len(lines):
+                took, good = min(size, len(lines) - start), True
+                for cols, why in _bisect(lines.slice(start, took), fields):
                     for all_, c in zip(got, cols, strict=True):
                         all_.append(c)
-                    reasons += [reason] * len(cols[0])
+                    reasons += why
+                    good = good and not any(why)
+                start += took
+                size = min(block, 2 * size) if good else max(STRICT_LINES, size // 2)
             if reasons:
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *(pa.concat_arrays(c) for c in got), pa.array(reasons, pa.string())], names=schema.names)
 
