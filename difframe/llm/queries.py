@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from difframe.llm.langid import detect_languages
 from difframe.llm.leaks import renamed_leaks, verbatim_leaks
 from difframe.llm.tokenize import encode_corpus
 from difframe.llm.topn import top_n_per_group
@@ -63,3 +64,16 @@ def p7_found(spark, sf_dir):
 def p7_renamed(spark, sf_dir):
     """Passages that follow an evaluation item with other numbers, names or units."""
     return renamed_leaks(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items"))
+
+
+@query("p8_found")
+def p8_found(spark, sf_dir):
+    """Documents with a missing or wrong label, and text cells in another language than their document's."""
+    return detect_languages(*_notebooks(spark, sf_dir), table(spark, sf_dir, "languages")).where("wrong").select("doc_id", "cell_no", "lang")
+
+
+@query("p8_languages")
+def p8_languages(spark, sf_dir):
+    """The language of every document and text cell, with confidence."""
+    out = detect_languages(*_notebooks(spark, sf_dir), table(spark, sf_dir, "languages"))
+    return out.withColumn("confidence", F.round("confidence", 6))
