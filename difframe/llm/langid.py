@@ -44,7 +44,7 @@ NAMES = {
 
 _NOT_PROSE = re.compile(
     r"```.*?(?:```|\Z)|`[^`\n]*`|\$\$.*?\$\$|\$[^$\n]*\$|!?\[[^\]\n]*\]\([^)\n]*\)|<[^<>\n]{1,200}>|data:[\w/+;=,-]+|https?://\S+|\\[A-Za-z]+"
-    r"|\S*[_\d=@\\/][^\W\d_]\S*|[^\W\d_]+[_\d(.][\w.(]*[^\W_]",
+    r"|\S*[_\d=@\\/][A-Za-z]\S*|[A-Za-z]+[(.][\w.(]*[A-Za-z0-9]|[A-Za-z]+[_\d]\w*",
     re.S,
 )
 _WORD = re.compile(r"[^\W\d_]+")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from difframe.llm.langid import detect_languages
 from difframe.llm.leaks import renamed_leaks, verbatim_leaks
+from difframe.llm.names import link_spellings, spelling_pairs
 from difframe.llm.tokenize import encode_corpus
 from difframe.llm.topn import top_n_per_group
 from difframe.runtime import table
@@ -77,3 +78,9 @@ def p8_languages(spark, sf_dir):
     """The language of every document and text cell, with confidence."""
     out = detect_languages(*_notebooks(spark, sf_dir), table(spark, sf_dir, "languages"))
     return out.withColumn("confidence", F.round("confidence", 6))
+
+
+@query("p3_found")
+def p3_found(spark, sf_dir):
+    """Pairs of spellings of one person or journal."""
+    return spelling_pairs(link_spellings(table(spark, sf_dir, "cod_data"), {"authors": ";"}, ["journal"]))
