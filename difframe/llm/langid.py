@@ -80,8 +80,8 @@ def codewords(n: int, bits: int = BITS):
     best, best_gap = None, -1
     for _ in range(2000):
         code = np.where(rnd.random((n, bits)) < 0.5, 1, -1).astype("int8")
-        if n > 1 and (np.abs(code.sum(0)) == n).any():
-            continue  # a bit that all languages share tells nothing
+        shared = np.abs(code.sum(0)) == n
+        code[rnd.integers(n), shared] *= -1  # a bit that all languages share tells nothing
         gap = min(((code[i] != code[j]).sum() for i in range(n) for j in range(i)), default=bits)
         if gap > best_gap:
             best, best_gap = code, gap
@@ -97,6 +97,7 @@ class Model:
         self.langs, self.code = langs, codewords(len(langs))
         self.weights = np.zeros((FEATURES, self.code.shape[1]), "float32")
         self.trust = np.ones(self.code.shape[1], "float32")
+        self.fitted = False
         self._seen: dict[str, tuple] = {}
 
     def __getstate__(self):
@@ -107,7 +108,8 @@ class Model:
         import numpy as np
 
         at = {x: i for i, x in enumerate(self.langs)}
-        y = np.array([at[x] for x in labels])
+        y = np.array([at[x] for x in labels], "int64")
+        self.fitted = len(y) > 0
         keep = np.ones(len(y), bool)
         feats = [np.array([f for w in c for f in word_features(w)], "int64") for c in cells]
         for last in (False, True):
@@ -151,10 +153,10 @@ class Model:
         return total / max(1.0, n**0.5)
 
     def classify(self, words: list[str]) -> tuple[str | None, float]:
-        """(language, confidence); no words, no language."""
+        """(language, confidence); no words or no labelled cells to learn from, no language."""
         import numpy as np
 
-        if not words:
+        if not words or not self.fitted:
             return None, 0.0
         loss = (self.trust * np.logaddexp(0, -self.code * self.margins(words))).sum(1)
         p = np.exp(loss.min() - loss)

@@ -129,12 +129,7 @@ def person_form(spelling: str) -> tuple[str, list[str]]:
     else:
         t = text.split()
         plain = [i for i, x in enumerate(t) if not initials(x) and folded(x.strip(".")) not in PARTICLES]
-        if not plain:
-            at = 0
-        elif len(plain) < len(t) - sum(folded(x.strip(".")) in PARTICLES for x in t) or len(plain) == 1:
-            at = plain[0]  # beside initials, the one full word is the surname
-        else:
-            at = plain[0] if shout else plain[-1]
+        at = 0 if not plain else plain[0] if shout else plain[-1]
         sur, given = (t[at], " ".join(t[:at] + t[at + 1 :])) if t else ("", "")
     words = _LETTERS.findall(folded(sur))
     own = [w for w in words if w not in PARTICLES] or words
