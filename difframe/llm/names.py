@@ -176,8 +176,8 @@ def given_keys(names: list[str], near: dict[str, list[str]] | None = None) -> li
 _END = ""
 
 
-def build_trie(words) -> dict:
-    root: dict = {}
+def build_trie(words, root: dict | None = None) -> dict:
+    root = {} if root is None else root
     for w in words:
         at = root
         for c in w:
@@ -282,23 +282,36 @@ def _in_shards(words: DataFrame, walk, shard_words: int) -> DataFrame:
     tasks: every part of the words walks the trie of every part.
     """
     n = F.ceil(F.col("n") / F.lit(shard_words)).cast("int")
-    parts = words.join(words.groupBy("kind", "shard").agg(n_rows()), ["kind", "shard"]).withColumn("parts", n).drop("n")
+    shared = words.groupBy("kind", "shard").agg(n_rows()).where("n > 1")
+    parts = words.join(shared, ["kind", "shard"]).withColumn("parts", n).drop("n")
     own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     asks = parts.withColumn("q", own).withColumn("t", every)
     holds = parts.withColumn("t", own).withColumn("q", every)
-    both = asks.withColumn("asks", F.lit(True)).unionByName(holds.withColumn("asks", F.lit(False))).select("kind", "shard", "q", "t", "asks", "word")
+    key = ["kind", "shard", "q", "t"]
+    both = asks.withColumn("asks", F.lit(True)).unionByName(holds.withColumn("asks", F.lit(False))).select(*key, "asks", "word")
+    # Few bytes, much work: the number of tasks follows the cores, not the size.  Groups are read one after another.
+    tasks = 3 * words.sparkSession.sparkContext.defaultParallelism
+    ordered = both.repartition(tasks, *key).sortWithinPartitions(*key, "asks")
 
-    def group(pdf):
+    def run(batches):
         import pandas as pd
 
-        trie = build_trie(pdf.loc[~pdf.asks, "word"])
-        rows = [(w, o, d) for w in pdf.loc[pdf.asks, "word"] for o, d in walk(trie, w).items() if o != w]
-        out = pd.DataFrame(rows, columns=["word", "other", "edits"])
-        out.insert(0, "kind", pdf.kind.iloc[0])
-        return out
-
-    return both.groupBy("kind", "shard", "q", "t").applyInPandas(group, "kind string, word string, other string, edits int").groupBy("kind", "word", "other").agg(F.min("edits").alias("edits"))
+        rows = (r for pdf in batches for r in pdf.itertuples(index=False, name=None))
+        out: list[tuple] = []
+        for (kind, *_), group in itertools.groupby(rows, key=lambda r: r[:4]):
+            trie: dict = {}
+            for *_, asking, word in group:
+                if not asking:
+                    build_trie([word], trie)
+                else:
+                    out += [(kind, word, o, d) for o, d in walk(trie, word).items() if o != word]
+            if len(out) > 50_000:
+                yield pd.DataFrame(out, columns=["kind", "word", "other", "edits"])
+                out = []
+        yield pd.DataFrame(out, columns=["kind", "word", "other", "edits"])
+
+    return ordered.mapInPandas(run, "kind string, word string, other string, edits int").groupBy("kind", "word", "other").agg(F.min("edits").alias("edits"))
 
 
 def n_rows():
