@@ -71,31 +71,52 @@ def cell_volume(a, b, c, alpha, beta, gamma) -> Column:
     return _c(a) * _c(b) * _c(c) * F.sqrt(F.greatest(1.0 - x * x - y * y - z * z + 2.0 * x * y * z, F.lit(1e-12)))
 
 
-def d_spacing(h, k, l, a, b, c, alpha, beta, gamma, system) -> Column:  # noqa: E741
-    """Spacing of (hkl) by crystal system; null for degenerate cells and unknown systems.
+def reciprocal_metric(a, b, c, alpha, beta, gamma, system) -> Column:
+    """struct(hh, kk, ll, hk, hl, kl): 1/d^2 of (hkl) is their sum with h*h, k*k, l*l, h*k, h*l, k*l.
 
-    Trigonal cells are taken on hexagonal axes.
+    Null for degenerate cells and unknown systems; trigonal cells are taken on hexagonal axes.  Compute it once per
+    structure, before indices are expanded.
     """
-    h, k, l, a, b, c = (_c(v).cast("double") for v in (h, k, l, a, b, c))  # noqa: E741
+    a, b, c = (_c(v).cast("double") for v in (a, b, c))
     s = _c(system)
     ca, cb, cg = (F.cos(F.radians(_c(v))) for v in (alpha, beta, gamma))
     sb2 = 1.0 - cb * cb
-    per = F.try_divide
-    plain = per(h * h, a * a) + per(k * k, b * b) + per(l * l, c * c)
-    hexa = per(4.0 * (h * h + h * k + k * k), 3.0 * a * a) + per(l * l, c * c)
-    mono = per(per(h * h, a * a) + per(l * l, c * c) - per(2.0 * h * l * cb, a * c), sb2) + per(k * k, b * b)
-    # Triclinic: the reciprocal metric, from the adjugate of the metric matrix over its determinant.
+    per, zero = F.try_divide, F.lit(0.0)
+    one = lambda x: per(F.lit(1.0), x * x)
+    # Triclinic: the adjugate of the metric matrix over its determinant.
     g11, g22, g33, g12, g13, g23 = a * a, b * b, c * c, a * b * cg, a * c * cb, b * c * ca
     det = g11 * (g22 * g33 - g23 * g23) - g12 * (g12 * g33 - g13 * g23) + g13 * (g12 * g23 - g22 * g13)
-    form = h * h * (g22 * g33 - g23 * g23) + k * k * (g11 * g33 - g13 * g13) + l * l * (g11 * g22 - g12 * g12)
-    form = form + 2.0 * (h * k * (g13 * g23 - g12 * g33) + h * l * (g12 * g23 - g13 * g22) + k * l * (g12 * g13 - g11 * g23))
+    adj = [g22 * g33 - g23 * g23, g11 * g33 - g13 * g13, g11 * g22 - g12 * g12, 2.0 * (g13 * g23 - g12 * g33), 2.0 * (g12 * g23 - g13 * g22), 2.0 * (g12 * g13 - g11 * g23)]
+    forms = {
+        "cubic": [one(a), one(a), one(a), zero, zero, zero],
+        "tetragonal": [one(a), one(a), one(c), zero, zero, zero],
+        "orthorhombic": [one(a), one(b), one(c), zero, zero, zero],
+        "hexagonal": [4.0 / 3.0 * one(a), 4.0 / 3.0 * one(a), one(c), 4.0 / 3.0 * one(a), zero, zero],
+        "monoclinic": [per(one(a), sb2), one(b), per(one(c), sb2), zero, per(-2.0 * cb, a * c * sb2), zero],
+        "triclinic": [per(x, det) for x in adj],
+    }
+    names = ("hh", "kk", "ll", "hk", "hl", "kl")
+    pack = lambda v: F.struct(*[x.alias(n) for x, n in zip(v, names, strict=True)])
+    return (
+        F.when(s == "cubic", pack(forms["cubic"]))
+        .when(s == "tetragonal", pack(forms["tetragonal"]))
+        .when(s == "orthorhombic", pack(forms["orthorhombic"]))
+        .when(s.isin("hexagonal", "trigonal"), pack(forms["hexagonal"]))
+        .when((s == "monoclinic") & (sb2 > 1e-20), pack(forms["monoclinic"]))
+        .when((s == "triclinic") & (det > 0), pack(forms["triclinic"]))
+    )
+
+
+def d_spacing(h, k, l, metric) -> Column:  # noqa: E741
+    """Spacing of (hkl) from a cell's ``reciprocal_metric``; null where that is null or gives none."""
+    h, k, l, m = _c(h), _c(k), _c(l), _c(metric)  # noqa: E741
+    # Equal axes: index sums stay whole numbers, so lines of one spacing get the very same number.
+    square, none = m["kk"] == m["hh"], m["hk"] == 0.0
     inv = (
-        F.when(s == "cubic", per(h * h + k * k + l * l, a * a))
-        .when(s == "tetragonal", per(h * h + k * k, a * a) + per(l * l, c * c))
-        .when(s == "orthorhombic", plain)
-        .when(s.isin("hexagonal", "trigonal"), hexa)
-        .when((s == "monoclinic") & (sb2 > 1e-20), mono)
-        .when((s == "triclinic") & (det > 0), per(form, det))
+        F.when(square & none & (m["ll"] == m["hh"]), (h * h + k * k + l * l) * m["hh"])
+        .when(square & none, (h * h + k * k) * m["hh"] + l * l * m["ll"])
+        .when(square & (m["hk"] == m["hh"]), (h * h + h * k + k * k) * m["hh"] + l * l * m["ll"])
+        .otherwise(h * h * m["hh"] + k * k * m["kk"] + l * l * m["ll"] + h * k * m["hk"] + h * l * m["hl"] + k * l * m["kl"])
     )
     return F.when(inv > 1e-12, 1.0 / F.sqrt(inv))
 
@@ -158,7 +179,7 @@ def resolve_wavelength(own, symbol, forced: float | None = None, use_own: bool =
     """struct(wavelength, rad_symbol, source): the forced one, else the record's own (above 0.1), else Cu K-alpha."""
     w = _c(own).cast("double")
     named = lambda value, label, source: F.struct(value.alias("wavelength"), label.alias("rad_symbol"), F.lit(source).alias("source"))
-    label = lambda value: F.concat(F.format_number(value, "0.00000"), F.lit("Å"))
+    label = lambda value: F.format_string("%.5fÅ", value)
     if forced is not None:
         return named(F.lit(float(forced)), label(F.lit(float(forced))), "custom")
     default = named(F.lit(CU_KA), F.lit("CuKα"), "default_CuKa")

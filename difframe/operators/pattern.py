@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from difframe.functions.chemistry import element_symbol, scattering_factor
-from difframe.functions.crystal import bragg_two_theta, cell_volume, centering_allowed, crystal_system, d_spacing, lattice_type, lorentz_polarization, multiplicity
+from difframe.functions.crystal import bragg_two_theta, cell_volume, centering_allowed, crystal_system, d_spacing, lattice_type, lorentz_polarization, multiplicity, reciprocal_metric
 from difframe.operators.relational import first_seen
 
 #: Cells larger than this (cubic angstrom) are refused before the grid is expanded.
@@ -24,13 +24,13 @@ def lines_of(structures: DataFrame, wavelength: float, two_theta_min: float = 5.
     """
     span = F.sequence(F.lit(-hkl_max), F.lit(hkl_max))
     s = structures.where("a > 0 AND b > 0 AND c > 0 AND sgnumber IS NOT NULL")
-    angles = [F.coalesce(F.col(x), F.lit(90.0)).alias(x) for x in ("alpha", "beta", "gamma")]
-    s = s.select("cod_id", "a", "b", "c", *angles, crystal_system("sgnumber").alias("system"), lattice_type("sg").alias("lattice")).where("system <> 'unknown'")
-    s = s.where(cell_volume("a", "b", "c", "alpha", "beta", "gamma") <= MAX_VOLUME)
-    # Spread before the expansion: a few input rows become many thousands.
+    cell = ["a", "b", "c", *[F.coalesce(F.col(x), F.lit(90.0)) for x in ("alpha", "beta", "gamma")]]
+    system = crystal_system("sgnumber")
+    s = s.where(cell_volume(*cell) <= MAX_VOLUME).select("cod_id", reciprocal_metric(*cell, system).alias("metric"), system.alias("system"), lattice_type("sg").alias("lattice"))
     s = s.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(hkl_max)))).withColumn("k", F.explode(span)).withColumn("l", F.explode(span))
     s = s.where("h > 0 OR k > 0 OR (k = 0 AND l > 0)").where(centering_allowed("h", "k", "l", "lattice"))
-    s = s.withColumn("d", d_spacing("h", "k", "l", "a", "b", "c", "alpha", "beta", "gamma", "system")).where(F.col("d") >= MIN_D)
+    # Through a generator, so that the spacing is computed once and not again in every later expression.
+    s = s.select("cod_id", "system", "h", "k", "l", F.explode(F.array(d_spacing("h", "k", "l", "metric"))).alias("d")).where(F.col("d") >= MIN_D)
     s = s.withColumn("two_theta", bragg_two_theta("d", wavelength)).where(F.col("two_theta").between(two_theta_min, two_theta_max))
     kept = first_seen(s.select("cod_id", "system", "h", "k", "l", "d", "two_theta", F.bround(F.col("d") * 1000).cast("long").alias("d_key")), ["cod_id", "d_key"], ["h", "k", "l"])
     return kept.withColumn("multiplicity", multiplicity("h", "k", "l", "system", physical)).select("cod_id", "h", "k", "l", "d", "two_theta", "multiplicity")

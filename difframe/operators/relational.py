@@ -51,17 +51,17 @@ def pending(jobs: DataFrame, done: list[DataFrame], keys: list[str]) -> DataFram
 
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` with the rows of ``delta`` put in by ``keys``: the last write wins; nothing is deleted."""
-    return base.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
+    return base.join(delta.select(*keys), keys, "left_anti").select(*base.columns).unionByName(delta)
 
 
 def insert_new(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` plus rows of ``delta`` with new keys: the first write wins."""
-    return base.unionByName(delta.join(base.select(*keys), keys, "left_anti"))
+    return base.unionByName(delta.join(base.select(*keys), keys, "left_anti").select(*base.columns))
 
 
 def replace_groups(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` in which every group that ``delta`` mentions is replaced as a whole."""
-    return base.join(delta.select(*keys).distinct(), keys, "left_anti").unionByName(delta)
+    return base.join(delta.select(*keys).distinct(), keys, "left_anti").select(*base.columns).unionByName(delta)
 
 
 def size_tier(n, missing: int = 0) -> Column:

@@ -20,9 +20,9 @@ def _unescaped(c: Column) -> Column:
 def parse_dump(lines: DataFrame, schema: T.StructType, line: str = "value") -> DataFrame:
     """Typed rows and ``reason``: null, ``column_count`` or the first column whose value doesn't fit its type."""
     f = F.split(F.col(line), "\t", -1)
-    raw = lines.select(f.alias("__f"))
+    raw = lines.select(F.transform(f, lambda x: F.when(x != "\\N", _unescaped(x))).alias("__f"))
     enough = F.size("__f") == len(schema.fields)
-    text = [F.when(F.try_element_at("__f", F.lit(i + 1)) != "\\N", _unescaped(F.try_element_at("__f", F.lit(i + 1)))) for i in range(len(schema.fields))]
+    text = [F.try_element_at("__f", F.lit(i + 1)) for i in range(len(schema.fields))]
     typed = [t.try_cast(x.dataType) if not isinstance(x.dataType, T.StringType) else t for t, x in zip(text, schema.fields, strict=True)]
     reason = F.when(~enough | F.col("__f").isNull(), "column_count")
     for t, v, x in zip(text, typed, schema.fields, strict=True):
