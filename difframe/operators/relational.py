@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,14 +32,16 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r")).select(*keys, "__r.*")
 
 
-def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float) -> DataFrame:
+def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float, bin_by: Callable[[Column], Column] | None = None) -> DataFrame:
     """All pairs with ``low <= point <= high``: an equi-join on bins of ``width`` instead of a nested loop.
 
-    Each range goes to the bins it touches, so ``width`` should be near a typical range.  The ranges are broadcast
-    only when they are counted to be few; otherwise both sides shuffle by bin and AQE splits hot bins.  Null points
-    and empty ranges match nothing.
+    Each range goes to the bins it touches, so ``width`` should be near a typical range; ``bin_by``, an increasing
+    function, makes ranges that grow with their position alike (a logarithm for relative widths).  The ranges are
+    broadcast only when they are counted to be few; otherwise both sides shuffle by bin and AQE splits hot bins.  Null
+    points and empty ranges match nothing.
     """
-    bin_of = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
+    place = bin_by or (lambda c: c)
+    bin_of = lambda c: F.floor(place(F.col(c)) / F.lit(width)).cast("long")
     cut = ranges.where(F.col(low) <= F.col(high)).withColumn("__bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
     own = points.where(F.col(point).isNotNull()).withColumn("__bin", bin_of(point))
     return own.join(small(cut), "__bin").where(F.col(point).between(F.col(low), F.col(high))).drop("__bin")

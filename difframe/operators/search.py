@@ -10,8 +10,8 @@ from difframe.operators.relational import best_row, range_join, top_ranked
 
 #: Strongest lines a fingerprint keeps.
 LINES = 30
-#: Bin of spacings (angstrom): about the width of a search window.
-D_BIN = 0.02
+#: Bin of the logarithm of spacings: a search window is 0.7 % of the spacing at 90 degrees and 4 % at 20.
+LOG_D_BIN = 0.02
 
 
 def best_patterns(patterns: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def match_phases(prints: DataFrame, windows: DataFrame, min_matches: int = 3, to
 
     Every scan is searched at once.  The count is exact; ties go to the smaller cod_id.
     """
-    hits = range_join(prints.select("cod_id", "d_hkl"), windows, "d_hkl", "d_lo", "d_hi", D_BIN)
+    hits = range_join(prints.select("cod_id", "d_hkl"), windows, "d_hkl", "d_lo", "d_hi", LOG_D_BIN, F.log)
     counts = hits.groupBy("scan_id", "cod_id").agg(F.countDistinct("peak_no").cast("int").alias("n_matched")).where(F.col("n_matched") >= min_matches)
     return top_ranked(counts, ["scan_id"], [F.desc("n_matched"), F.asc("cod_id")], top)
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when it is counted to hold at most this many rows (narrow rows: tens of MB).
 BROADCAST_ROWS = 500_000
 
+_STAGED: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data folder."""
@@ -36,9 +38,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/difframe-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Deletes the tables this process has staged, once no result that reads them is needed; returns how many."""
+    for path in _STAGED:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    n = len(_STAGED)
+    _STAGED.clear()
+    return n
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to have at most ``rows`` rows, else as it is.
 
