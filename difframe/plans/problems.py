@@ -11,7 +11,25 @@ from difframe.runtime import table
 from difframe.sources.delimited import load_lines
 
 
-@query("p1_found")
+_UNWRAP = "CASE WHEN json_type({0}) = 'VARCHAR' AND json_valid({0} ->> '$') THEN CAST({0} ->> '$' AS JSON) ELSE {0} END"
+_INDICES = """list_transform(regexp_extract_all({0}, '-?[0-9]+(?:\\.[0-9]+)?'), lambda x: CAST(CAST(x AS DOUBLE) AS INTEGER))"""
+_HKL = _INDICES.format("CASE WHEN json_type(e) = 'OBJECT' AND (e -> '$.h') IS NOT NULL THEN concat_ws(' ', e ->> '$.h', e ->> '$.k', e ->> '$.l') WHEN json_type(e) = 'OBJECT' THEN CAST(e -> '$.hkl' AS VARCHAR) ELSE CAST(e AS VARCHAR) END")
+
+
+@query(
+    "p1_found",
+    f"""WITH t AS (SELECT DISTINCT id, cod_id, CAST(reflections AS JSON) AS j FROM reference_patterns_pymatgen WHERE json_valid(reflections)),
+         u AS (SELECT id, {_UNWRAP.format("j")} AS j FROM (SELECT id, {_UNWRAP.format("j")} AS j FROM t)),
+         a AS (SELECT id, CASE WHEN json_type(j) = 'ARRAY' THEN j ELSE coalesce(j -> '$.lines', j -> '$.pattern.lines') END AS j FROM u),
+         l AS (SELECT id, i AS line_no, j -> ('$[' || i || ']') AS e FROM (SELECT id, j, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS i FROM a WHERE json_type(j) = 'ARRAY')),
+         fa AS (SELECT id, line_no, CASE WHEN json_type(f) = 'OBJECT' THEN json_array(f) ELSE f END AS f FROM (SELECT id, line_no, coalesce(e -> '$.families', e -> '$.hkl_families') AS f FROM l WHERE json_type(e) = 'OBJECT')),
+         f AS (SELECT id, line_no, i AS family_no, f -> ('$[' || i || ']') AS e FROM (SELECT *, unnest(range(CAST(json_array_length(f) AS BIGINT))) AS i FROM fa WHERE json_type(f) = 'ARRAY')),
+         ma AS (SELECT id, line_no, family_no, coalesce(CASE WHEN json_type(e -> '$.equivalents') <> 'NULL' THEN e -> '$.equivalents' END, e -> '$.members') AS m FROM f WHERE json_type(e) = 'OBJECT'),
+         m AS (SELECT id, line_no, family_no, i AS member_no, m -> ('$[' || i || ']') AS e FROM (SELECT *, unnest(range(CAST(json_array_length(m) AS BIGINT))) AS i FROM ma WHERE json_type(m) = 'ARRAY')),
+         nodes AS (SELECT id, line_no, -1 AS family_no, -1 AS member_no, e FROM l UNION ALL SELECT id, line_no, family_no, -1, e FROM f UNION ALL SELECT id, line_no, family_no, member_no, e FROM m)
+       SELECT id, CAST(line_no AS INTEGER) AS line_no, CAST(family_no AS INTEGER) AS family_no, CAST(member_no AS INTEGER) AS member_no, x[1] AS h, x[2] AS k, x[len(x)] AS l
+       FROM (SELECT *, {_HKL} AS x FROM nodes WHERE json_type(e) <> 'NULL')""",
+)
 def p1_found(spark, sf_dir):
     """Every line, family and equivalent triple of the nested reflections, with its places."""
     return reflection_nodes(table(spark, sf_dir, "reference_patterns_pymatgen")).select("id", "line_no", "family_no", "member_no", "h", "k", "l")
@@ -24,7 +42,25 @@ def p1_lines(spark, sf_dir):
     return t.drop("label", "parent")
 
 
-@query("p4_found")
+_QUOTED = '"(?:[^"]|"")*"'
+_CELL = f'(?:[^",]*|{_QUOTED})'
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _bad(i: int, name: str, extra: str) -> str:
+    v = f"v[{i}]"
+    number = "[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?(?:\\([0-9]+\\))?"
+    x = f"CAST(regexp_replace(regexp_replace({v}, '\\(.*', ''), '^\\+', '') AS DOUBLE)"
+    return f"WHEN {v} NOT IN ('', '.', '?') AND (NOT regexp_full_match({v}, '{number}') OR CASE WHEN regexp_full_match({v}, '{number}') THEN {x} {extra} END) THEN '{name}'"
+
+
+@query(
+    "p4_found",
+    f"""WITH c AS (SELECT raw_id, line, regexp_full_match(line, '{_CELL}(?:,{_CELL})*') AS ok, len(regexp_replace(regexp_replace(line, '{_QUOTED}', 'q', 'g'), '[^,]', '', 'g')) + 1 AS n,
+              list_transform(regexp_extract_all(line, '({_CELL})(?:,|$)', 1), lambda f: trim(CASE WHEN f[1] = '"' THEN replace(f[2:-2], '""', '"') ELSE f END, {_BLANKS})) AS v FROM atomic_sites_raw)
+       SELECT raw_id, reason FROM (SELECT raw_id, CASE WHEN line IS NULL THEN 'column_count' WHEN NOT ok THEN 'quoting' WHEN n <> 10 THEN 'column_count'
+         {_bad(4, "fract_x", "IS NULL")} {_bad(7, "occupancy", "NOT BETWEEN 0 AND 1")} {_bad(8, "u_iso_or_equiv", "< 0")} END AS reason FROM c) WHERE reason IS NOT NULL""",
+)
 def p4_found(spark, sf_dir):
     """Lines that cannot be loaded, with the first reason."""
     return load_lines(table(spark, sf_dir, "atomic_sites_raw"), "line", ["raw_id"]).where(F.col("reason").isNotNull()).select("raw_id", "reason")
