@@ -55,7 +55,17 @@ def _notebooks(spark, sf_dir):
     return table(spark, sf_dir, "documents"), table(spark, sf_dir, "notebook_cells")
 
 
-@query("p7_found")
+_CELL_WORDS = """SELECT doc_id, regexp_extract_all(lower(CASE WHEN js THEN array_to_string(from_json(t, '["VARCHAR"]'), '') ELSE t END), '[\\p{L}\\p{N}]+') AS w
+  FROM (SELECT n.doc_id, substring(d.text, n.start_char + 1, n.length) AS t, coalesce(d.layout = 'json', d.text LIKE '{%"cells"%') AS js FROM documents d JOIN notebook_cells n ON n.doc_id = d.doc_id WHERE d.text <> '')"""
+
+
+@query(
+    "p7_found",
+    f"""WITH c AS ({_CELL_WORDS}), e AS (SELECT item_id, regexp_extract_all(lower(unnest([question, answer])), '[\\p{{L}}\\p{{N}}]+') AS w FROM eval_items),
+         ew AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS i FROM e WHERE len(w) >= 12)),
+         cw AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+11], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM c WHERE len(w) >= 12))
+       SELECT DISTINCT doc_id, item_id FROM cw JOIN ew USING (s)""",
+)
 def p7_found(spark, sf_dir):
     """Documents with a verbatim passage of an evaluation item."""
     return verbatim_leaks(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
