@@ -18,7 +18,7 @@ from difframe.runtime import small, staged
 #: Rows a leaf should hold on average; a leaf is the unit in which rows are read again.
 LEAF_ROWS = 8
 #: Children of an inner node, as bits.
-FANOUT_BITS = 4
+FANOUT_BITS = 6
 
 
 def _marked(cols: list[str]) -> list[Column]:
@@ -55,7 +55,7 @@ def snapshot_changes(df: DataFrame, snapshot: str, key: str, version: str, ignor
     order = staged(sizes.select(F.lag("s").over(Window.orderBy("s")).alias("before"), F.col("s").alias("now"), F.max("n").over(Window.partitionBy()).alias("n")), "snapshot-order")
     most = (order.select("n").first() or [0])[0]
     levels = 1
-    while (1 << (fanout_bits * levels)) * leaf_rows < most and levels < 12:
+    while (1 << (fanout_bits * levels)) * leaf_rows < most and (levels + 1) * fanout_bits <= 62:
         levels += 1
     leaf = F.shiftrightunsigned(hash_bits, 64 - fanout_bits * levels)
     digest = [F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2"), F.sum("n").alias("n")]
@@ -63,13 +63,12 @@ def snapshot_changes(df: DataFrame, snapshot: str, key: str, version: str, ignor
     tree = [leaves]
     for _ in range(levels):
         tree.insert(0, tree[0].groupBy("s", F.shiftright("node", fanout_bits).alias("node")).agg(*digest))
-    pairs = order.where(F.col("before").isNotNull()).select("before", "now")
+    pairs = small(order.where(F.col("before").isNotNull()).select("before", "now"))
 
     def sides(t: DataFrame, *cols: str) -> DataFrame:
         """Each row once as the later and once as the earlier side of a pair of snapshots."""
-        p = small(pairs)
-        now = t.join(p.select(F.col("now").alias("s"), F.col("now").alias("pair")), "s").withColumn("later", F.lit(True))
-        before = t.join(p.select(F.col("before").alias("s"), F.col("now").alias("pair")), "s").withColumn("later", F.lit(False))
+        now = t.join(pairs.select(F.col("now").alias("s"), F.col("now").alias("pair")), "s").withColumn("later", F.lit(True))
+        before = t.join(pairs.select(F.col("before").alias("s"), F.col("now").alias("pair")), "s").withColumn("later", F.lit(False))
         return now.unionByName(before).select("pair", "later", *cols)
 
     differing: DataFrame | None = None
