@@ -23,6 +23,8 @@ from difframe.llm.notebooks import iter_cells, with_cells
 SAMPLE_CELLS = 400
 #: Hashed features, bits of a codeword, longest character n-gram.
 FEATURES, BITS, GRAMS = 1 << 16, 24, 4
+#: Features (about 15 to 20 letters of text) below which evidence is discounted.
+FULL_EVIDENCE = 60
 #: A cell of less confidence is flagged ambiguous.
 AMBIGUOUS = 0.6
 
@@ -143,14 +145,14 @@ class Model:
         return got
 
     def margins(self, words: list[str]):
-        """Each bit's evidence: its log-odds, damped by the root of the number of features."""
+        """Each bit's evidence: its mean log-odds per feature; a text of few features counts as diluted."""
         import numpy as np
 
         total, n = np.zeros(self.code.shape[1], "float32"), 0
         for w in words:
             v, k = self._word(w)
             total, n = total + v, n + k
-        return total / max(1.0, n**0.5)
+        return total / max(FULL_EVIDENCE, n)
 
     def classify(self, words: list[str]) -> tuple[str | None, float]:
         """(language, confidence); no words or no labelled cells to learn from, no language."""
