@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from difframe import pipeline
 from difframe.functions import chemistry as ch
 from difframe.functions import crystal as cr
+from difframe.operators import catalogue as cat
 from difframe.operators import fit, relational, search
 from difframe.operators.pattern import calculate_patterns, lines_of, structure_factors
 from difframe.plans.catalogue import query
-from difframe.runtime import shared_dir, small, table
+from difframe.runtime import shared_dir, table
 from difframe.sources import cif, diffractogram, dump
 from difframe.streaming.upsert import latest, upsert_stream
 
@@ -329,6 +330,16 @@ def wls_line(spark, sf_dir):
     return s.select("scan_id", r((F.col("w") * F.col("xy") - F.col("x") * F.col("y")) / det).alias("slope"), r((F.col("xx") * F.col("y") - F.col("x") * F.col("xy")) / det).alias("level"))
 
 
+@query(
+    "scan_statistics",
+    f"SELECT scan_id, round(avg(iobs), 6) AS mean, round(stddev_pop(iobs), 6) AS spread, round(quantile_cont(sqrt(greatest(iobs, 1)), 0.5), 6) AS noise FROM ({_HOURS}) GROUP BY scan_id",
+)
+def scan_statistics(spark, sf_dir):
+    """Mean, population spread and median error of every scan."""
+    p = event_points(spark, sf_dir)
+    return p.groupBy("scan_id").agg(r(F.avg("iobs")).alias("mean"), r(F.stddev_pop("iobs")).alias("spread"), r(F.median("sigma")).alias("noise"))
+
+
 @query("scan_peaks")
 def scan_peaks(spark, sf_dir):
     """Peaks of the event scans."""
@@ -379,7 +390,7 @@ _GOOD = "status IS NULL AND onhold IS NULL AND radiation = 'X-ray' AND (method I
 
 @query("catalog_quality", f"SELECT file, formula, sg, a, b, c, vol, robs FROM cod_data WHERE {_GOOD} AND (robs < 0.08 OR (robs IS NULL AND rfsqd < 0.10))")
 def catalog_quality(spark, sf_dir):
-    return table(spark, sf_dir, "cod_data").where(f"{_GOOD} AND (robs < 0.08 OR (robs IS NULL AND rfsqd < 0.10))").select("file", "formula", "sg", "a", "b", "c", "vol", "robs")
+    return cat.quality_listing(table(spark, sf_dir, "cod_data")).select("file", "formula", "sg", "a", "b", "c", "vol", "robs")
 
 
 @query("catalog_by_system", f"SELECT {_SYSTEM.format('sgnumber')} AS system, count(*) AS n, round(avg(vol), 4) AS mean_vol, min(robs) AS best_robs FROM cod_data WHERE status IS NULL AND radiation = 'X-ray' GROUP BY 1")
@@ -398,13 +409,7 @@ def catalog_phase_search(spark, sf_dir):
     """For every structure whose number is divisible by 20: the 20 best ambient structures of its space group with a
     volume within 2 %, by R factor (nulls last)."""
     d = table(spark, sf_dir, "cod_data")
-    q = d.where("file % 20 = 0 AND vol > 0").select(F.col("file").alias("q"), F.col("sgnumber").alias("sg_q"), (F.col("vol") * 0.98).alias("lo"), (F.col("vol") * 1.02).alias("hi"))
-    # Volumes are compared by their logarithm's bin, so a space group with many structures does not meet itself whole.
-    bin_of = lambda c: F.floor(F.log(c) / 0.04).cast("long")
-    q = q.withColumn("bin", F.explode(F.sequence(bin_of(F.col("lo")), bin_of(F.col("hi")))))
-    own = d.where(f"{_GOOD} AND (celltemp IS NULL OR celltemp BETWEEN 250 AND 320) AND (cellpressure IS NULL OR cellpressure < 200) AND vol > 0").select("file", F.col("sgnumber").alias("sg_q"), "vol", "robs", bin_of(F.col("vol")).alias("bin"))
-    hits = q.join(own, ["sg_q", "bin"]).where("vol BETWEEN lo AND hi")
-    return relational.top_ranked(hits, ["q"], [F.asc_nulls_last("robs"), F.asc("file")], 20, "k").select("q", "file", "k")
+    return cat.phase_search(d, d.where("file % 20 = 0").select(F.col("file").alias("q"), "sgnumber", "vol"))
 
 
 @query("catalog_name_search", "SELECT file, mineral, commonname, chemname FROM cod_data WHERE mineral ILIKE '%lite%' OR commonname ILIKE '%lite%' OR chemname ILIKE '%oxide%'")
@@ -414,22 +419,19 @@ def catalog_name_search(spark, sf_dir):
 
 @query("catalog_powder", "SELECT file, formula, sg, wavelength, doi, CASE WHEN doi IS NOT NULL THEN 'https://doi.org/' || doi END AS link FROM cod_data WHERE method = 'powder diffraction' AND status IS NULL AND wavelength BETWEEN 1.5 AND 1.6")
 def catalog_powder(spark, sf_dir):
-    d = table(spark, sf_dir, "cod_data").where("method = 'powder diffraction' AND status IS NULL AND wavelength BETWEEN 1.5 AND 1.6")
-    return d.select("file", "formula", "sg", "wavelength", "doi", F.concat(F.lit("https://doi.org/"), "doi").alias("link"))
+    d = cat.powder_structures(table(spark, sf_dir, "cod_data"))
+    return d.select("file", "formula", "sg", "wavelength", "doi", cat.doi_link().alias("link"))
 
 
 @query("density_proxy", "SELECT file, round(CAST(z AS DOUBLE) / nullif(vol, 0), 8) AS proxy FROM cod_data WHERE mineral LIKE '%ite'")
 def density_proxy(spark, sf_dir):
-    return table(spark, sf_dir, "cod_data").where("mineral LIKE '%ite'").select("file", r(F.try_divide(F.col("z").cast("double"), F.col("vol")), 8).alias("proxy"))
+    return table(spark, sf_dir, "cod_data").where("mineral LIKE '%ite'").select("file", r(cat.density_proxy(), 8).alias("proxy"))
 
 
 @query("canonical_structures", "SELECT d.file, coalesce(o.file, d.file) AS canonical FROM cod_data d LEFT JOIN cod_data o ON o.file = coalesce(d.duplicateof, d.optimal)")
 def canonical_structures(spark, sf_dir):
     """The record that stands for each structure: the one it duplicates or its better one, if that exists."""
-    d = table(spark, sf_dir, "cod_data")
-    own = d.select("file", F.coalesce("duplicateof", "optimal").alias("other"))
-    there = d.select(F.col("file").alias("other"), F.col("file").alias("found"))
-    return own.join(there, "other", "left").select("file", F.coalesce("found", "file").alias("canonical"))
+    return cat.canonical(table(spark, sf_dir, "cod_data"))
 
 
 _STEM = "regexp_replace(w, '(ing|ed|es|s)$', '')"
@@ -442,10 +444,8 @@ _STEM = "regexp_replace(w, '(ing|ed|es|s)$', '')"
 )
 def title_search(spark, sf_dir):
     """Titles that hold all words of a question, after cutting common endings (approximate stemming)."""
-    words = F.transform(F.regexp_extract_all(F.lower("title"), F.lit("[a-z]+"), F.lit(0)), lambda w: F.regexp_replace(w, "(ing|ed|es|s)$", ""))
-    t = table(spark, sf_dir, "cod_data").where("title IS NOT NULL").select("file", words.alias("t"))
-    both = F.array_distinct(F.array_compact(F.array(F.when(F.array_contains("t", "crystal") & F.array_contains("t", "structure"), 1), F.when(F.array_contains("t", "powder") & F.array_contains("t", "cool"), 2))))
-    return t.select("file", F.explode(both)).select("file")
+    d = table(spark, sf_dir, "cod_data")
+    return cat.text_search(d, "title", "crystals structure").select("file").unionAll(cat.text_search(d, "title", "powder cooling").select("file"))
 
 
 @query(
@@ -503,18 +503,11 @@ def json_extract_agg(spark, sf_dir):
 def fingerprint_tanimoto(spark, sf_dir):
     """For every vector whose id is divisible by 20: the five most similar others by Tanimoto over sign bits.
 
-    The question set is sent to the rows in blocks packed as 64-bit words; each task keeps five per question before
-    the shuffle.
+    Sign bits are packed into a 64-bit word.
     """
     word = F.expr("aggregate(transform(embedding, (x, i) -> CASE WHEN x > 0 THEN shiftleft(1L, i) ELSE 0L END), 0L, (a, x) -> a | x)")
-    e = table(spark, sf_dir, "embeddings").select("vec_id", word.alias("w"))
-    q = e.where("vec_id % 20 = 0").select(F.struct(F.col("vec_id").alias("q"), F.col("w").alias("qw")).alias("x"))
-    blocks = -(-q.count() // 1000) or 1
-    q = q.withColumn("block", F.pmod(F.xxhash64("x.q"), F.lit(blocks)).cast("int")).groupBy("block").agg(F.collect_list("x").alias("xs"))
-    hits = e.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(small(q), "block").select("vec_id", "w", F.explode("xs").alias("x")).where("vec_id <> x.q")
-    both, any_ = F.bit_count(F.col("w").bitwiseAND(F.col("x.qw"))), F.bit_count(F.col("w").bitwiseOR(F.col("x.qw")))
-    s = hits.select("x.q", F.col("vec_id").alias("other"), (both / any_).alias("s"))
-    return relational.top_ranked(s, ["q"], [F.desc("s"), F.asc("other")], 5, "k").select("q", "other", r("s").alias("similarity"))
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), word.alias("w"))
+    return cat.similar_bits(e, e.where("id % 20 = 0").withColumnRenamed("id", "q"), ["w"]).withColumn("similarity", r("similarity"))
 
 
 # ---- upserts --------------------------------------------------------------------------------------------------------
