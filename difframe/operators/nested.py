@@ -83,7 +83,8 @@ def dewey_nodes(df: DataFrame, keys: list[str], text_col: str, repeated: set[str
 
     Defined results: null entries keep their ordinal but give no node; null texts and texts that aren't JSON as a
     whole (also NaN, trailing text, nesting beyond the parser's depth) give no nodes; a scalar root gives the root
-    node alone; repeated rows give repeated nodes; columns other than ``keys`` and ``text_col`` are never read.
+    node alone; repeated rows give repeated nodes; columns other than ``keys`` and ``text_col`` are never read; a key
+    named like a node column keeps its name and the node column gets ``_node`` behind it.
     """
     names = frozenset(repeated)
     text = "__text"
@@ -121,7 +122,8 @@ def dewey_nodes(df: DataFrame, keys: list[str], text_col: str, repeated: set[str
                 yield flush()
 
     nodes = src.mapInArrow(parse, schema)
-    return nodes.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], "schema_path", "label", "attrs")
+    own = [F.col(f.name).alias(f.name + "_node" if f.name in keys else f.name) for f in _NODE]
+    return nodes.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], *own)
 
 
 def parent_label(label: str = "label") -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from difframe.runtime import small, staged
 
@@ -21,20 +22,22 @@ LEAF_ROWS = 8
 FANOUT_BITS = 6
 
 
-def _marked(cols: list[str]) -> list[Column]:
-    # xxhash64 skips nulls, so each column is joined by a mark of its own being null.
-    return [x for c in cols for x in (F.col(c), F.col(c).isNull())]
+def _marked(df: DataFrame, cols: list[str]) -> list[Column]:
+    # xxhash64 skips nulls, so each column is joined by a mark of its own being null; nested values by their JSON text.
+    plain = lambda c: F.col(c) if isinstance(df.schema[c].dataType, T.AtomicType) else F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"})
+    return [x for c in cols for x in (plain(c), F.col(c).isNull())]
 
 
-def row_digest(cols: list[str]) -> tuple[Column, Column]:
+def row_digest(df: DataFrame, cols: list[str]) -> tuple[Column, Column]:
     """Two independent 64-bit digests of a row; null equals null, 0.0 equals -0.0, texts count exactly."""
-    return F.xxhash64(F.lit(1), *_marked(cols)), F.xxhash64(F.lit(2), *reversed(_marked(cols)))
+    marked = _marked(df, cols)
+    return F.xxhash64(F.lit(1), *marked), F.xxhash64(F.lit(2), *reversed(marked))
 
 
 def current_rows(df: DataFrame, snapshot: str, key: str, version: str, ignore: list[str]) -> DataFrame:
     """One row per snapshot and key: the one of the greatest ``version`` (nulls lowest, equal ones by digest)."""
     cols = sorted(c for c in df.columns if c not in {snapshot, key, version, *ignore})
-    d1, d2 = row_digest(cols)
+    d1, d2 = row_digest(df, cols)
     rows = df.where(F.col(snapshot).isNotNull()).select(F.col(snapshot).alias("s"), F.col(key).alias("k"), F.struct(F.col(version).alias("v"), d1.alias("d1"), d2.alias("d2")).alias("r"))
     return rows.groupBy("s", "k").agg(F.max("r").alias("r")).select("s", "k", "r.d1", "r.d2")
 

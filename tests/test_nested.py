@@ -81,6 +81,8 @@ def test_parent_links_and_extra_columns(spark):
     nodes = dewey_nodes(df, ["id"], "t", {"a", "b"})
     b = {tuple(r["label"]): (tuple(r["parent"]), r["attrs"]) for r in node_table(nodes, r"\$\.a\[\]\.b\[\]").collect()}
     assert b == {(0, 0): ((0,), {"y": "2"}), (0, 1): ((0,), {})}
+    clash = dewey_nodes(df, ["id", "label"], "t", {"a", "b"})
+    assert clash.columns == ["id", "label", "schema_path", "label_node", "attrs"] and {r["label"] for r in clash.collect()} == {7}
     a = {tuple(r["label"]): r["attrs"] for r in node_table(nodes, r"\$\.a\[\]").collect()}
     assert a == {(0,): {"x": "1"}, (1,): {"c.d": "5"}}
 

@@ -49,3 +49,10 @@ def test_empty_and_single(spark):
 def test_hot_leaf(spark):
     rows = [(s, 1, 1, "a", 1.0) for s in (1, 2) for _ in range(500)] + [(2, 2, 1, "b", 1.0)]
     assert _run(spark, rows) == [(2, 2, "added")]
+
+
+def test_nested_values_and_clashing_names(spark):
+    kind = "s int, file int, k int, pair array<int>, node map<string,int>, d1 struct<a:int,b:string>"
+    rows = [(1, 1, 1, [1, None], {"x": 1}, (1, None)), (2, 1, 1, [1], {"x": 1}, (1, None)), (1, 2, 1, [None], {"x": 1}, (None, "q")), (2, 2, 1, [None], {"x": 1}, (None, "q")), (1, 3, 1, None, None, None), (2, 3, 1, [], None, None)]
+    df = spark.createDataFrame(rows, kind)
+    assert sorted(map(tuple, snapshot_changes(df, "s", "file", "k", []).collect())) == [(2, 1, "changed"), (2, 3, "changed")]
