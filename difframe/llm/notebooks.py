@@ -16,12 +16,12 @@ def with_cells(docs: DataFrame, cells: DataFrame, extra: list[str] | None = None
     """``doc_id, text, layout, *extra, cells`` for every document that has cells.
 
     ``cells`` is an array of (cell_no, start_char, length) in no order; ``where`` selects cells.  Repeated cell rows
-    count once; null positions are left out.
+    count once, repeated document rows repeat their result; null ids and positions are left out.
     """
     own = cells if where is None else cells.where(where)
     own = own.where("doc_id IS NOT NULL AND start_char IS NOT NULL AND length IS NOT NULL")
-    arrays = own.groupBy("doc_id").agg(F.collect_set(F.struct("cell_no", "start_char", "length")).alias("cells"))
-    return docs.where(F.length("text") > 0).select("doc_id", "text", "layout", *(extra or [])).join(arrays, "doc_id")
+    arrays = own.withColumn("doc_id", F.col("doc_id").cast("bigint")).groupBy("doc_id").agg(F.collect_set(F.struct("cell_no", "start_char", "length")).alias("cells"))
+    return docs.where(F.length("text") > 0).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "layout", *(extra or [])).join(arrays, "doc_id")
 
 
 def is_json(text: str, layout: str | None) -> bool:
