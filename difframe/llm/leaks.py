@@ -41,7 +41,7 @@ _NAME = re.compile(r"[^\W\d_]{4,}(?:ite|ine|ide|ate|ane|ene|yne|one|ium|ole|spar
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
-WINDOW = "template bigint, at int, words array<string>"
+WINDOW = "template bigint, at int, words array<string>, slots array<string>"
 
 
 def words(text: str) -> list[str]:
@@ -129,7 +129,7 @@ def _arrow_windows(pieces_of, keys: list[str], schema, width: int, templates=Non
 
         codes, known = _Codes(), None if templates is None else _Known(templates.view(np.uint64))
         for batch in batches:
-            out = [[] for _ in range(len(keys) + 3)]
+            out = [[] for _ in range(len(keys) + 4)]
 
             def flush():
                 kinds = [f.type for f in schema]
@@ -138,12 +138,15 @@ def _arrow_windows(pieces_of, keys: list[str], schema, width: int, templates=Non
             for key, h, at, w in _windows(pieces_of(batch), width, codes, known):
                 for c, v in zip(out, key, strict=False):
                     c.extend([v] * len(at))
-                out[-3].extend(h.tolist())
-                out[-2].extend(at.tolist())
-                out[-1].extend(w[i : i + width] for i in at.tolist())
+                out[-4].extend(h.tolist())
+                out[-3].extend(at.tolist())
+                for i in at.tolist():
+                    own = w[i : i + width]
+                    out[-2].append(own)
+                    out[-1].append([x for x in own if placeholder(x) != x])
                 if len(out[-1]) > 20_000:
                     yield flush()
-                    out = [[] for _ in range(len(keys) + 3)]
+                    out = [[] for _ in range(len(keys) + 4)]
             if out[-1]:
                 yield flush()
 
@@ -156,7 +159,7 @@ def eval_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
 
     texts = items.select("item_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("question", "answer")])).alias("x")).select("item_id", "x.field", "x.text").where("text IS NOT NULL").distinct()
     kind = {"int": pa.int32(), "bigint": pa.int64(), "smallint": pa.int16(), "string": pa.string()}[items.schema["item_id"].dataType.simpleString()]
-    schema = pa.schema([("item_id", kind), ("field", pa.string()), ("template", pa.int64()), ("at", pa.int32()), ("words", pa.list_(pa.string()))])
+    schema = pa.schema([("item_id", kind), ("field", pa.string()), ("template", pa.int64()), ("at", pa.int32()), ("words", pa.list_(pa.string())), ("slots", pa.list_(pa.string()))])
 
     def pieces(batch):
         for i, f, t in zip(*(batch.column(c).to_pylist() for c in ("item_id", "field", "text")), strict=True):
@@ -170,7 +173,7 @@ def corpus_windows(docs: DataFrame, cells: DataFrame, width: int = WIDTH, templa
     """``doc_id, cell_no, template, at, words`` of the windows of every cell; only known ``templates``, if given."""
     import pyarrow as pa
 
-    schema = pa.schema([("doc_id", pa.int64()), ("cell_no", pa.int32()), ("template", pa.int64()), ("at", pa.int32()), ("words", pa.list_(pa.string()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("cell_no", pa.int32()), ("template", pa.int64()), ("at", pa.int32()), ("words", pa.list_(pa.string())), ("slots", pa.list_(pa.string()))])
 
     def pieces(batch):
         ids = batch.column("doc_id").to_pylist()
@@ -183,7 +186,8 @@ def corpus_windows(docs: DataFrame, cells: DataFrame, width: int = WIDTH, templa
 def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """Every pair of a corpus window and an evaluation window of one template.
 
-    ``doc_id, cell_no, at, words, item_id, field, item_at, item_words``.
+    ``doc_id, cell_no, at, words, slots, item_id, field, item_at, item_words, item_slots``; slots are the words that
+    became placeholders.
     """
     import numpy as np
 
@@ -191,7 +195,7 @@ def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width:
     distinct = known.select("template").distinct().limit(TEMPLATES_SENT + 1)
     sent = distinct.toPandas()["template"].to_numpy(np.int64) if known.limit(TEMPLATES_SENT + 1).count() <= TEMPLATES_SENT else None
     corpus = corpus_windows(docs, cells, width, sent)
-    evals = known.select("template", "item_id", "field", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
+    evals = known.select("template", "item_id", "field", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
     return corpus.join(small(evals), "template").drop("template")
 
 
@@ -204,23 +208,26 @@ def verbatim_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: i
     an empty table.  Only the named columns are read.
     """
     same = template_matches(docs, cells, items, width).where(F.col("words") == F.col("item_words"))
-    return same.groupBy("doc_id", "item_id", "field", "cell_no").agg(F.countDistinct("at").alias("n_windows"), F.min("at").alias("first_at"))
+    return same.groupBy("doc_id", "item_id", "field", "cell_no").agg(F.size(F.collect_set("at")).alias("n_windows"), F.min("at").alias("first_at"))
 
 
 def renamed_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """Questions that come back with other numbers, names or units, one row per cell and aligned passage.
 
     ``doc_id, cell_no, first_at, n_windows, item_id, n_items, n_changed``: a passage of a cell that follows an item's
-    text word by word but for slots, which are renamed one to one (the same name always to the same name).  Among the
-    ``n_items`` items it follows as long, ``item_id`` is the one with the fewest renamed slots (ties: smallest id).
+    text word by word but for slots, which are renamed one to one (the same name always to the same name).  Of the
+    ``n_items`` items it follows, ``item_id`` is the one followed longest, then with the fewest renamed slots, then the
+    smallest id.  Defined results otherwise as in ``verbatim_leaks``.
     """
     m = template_matches(docs, cells, items, width)
-    pairs = F.zip_with("item_words", "words", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    runs = m.withColumn("pairs", pairs).groupBy("doc_id", "cell_no", "item_id", "field", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.min("at").alias("first_at"), F.countDistinct("at").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    # One aggregate with partial results: a passage's windows combine before the shuffle.
+    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    runs = m.select("doc_id", "cell_no", "item_id", "field", (F.col("at") - F.col("item_at")).alias("shift"), "at", pairs.alias("pairs"))
+    runs = runs.groupBy("doc_id", "cell_no", "item_id", "field", "shift").agg(F.min("at").alias("first_at"), F.size(F.collect_set("at")).alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     n = F.size("pairs")
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == n)
     changed = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
     fits = runs.where(one_to_one).withColumn("n_changed", changed).where("n_changed > 0")
     best = F.min(F.struct((-F.col("n_windows")).alias("w"), "n_changed", "item_id")).alias("best")
-    out = fits.groupBy("doc_id", "cell_no", "first_at").agg(best, F.countDistinct("item_id").alias("n_items"))
+    out = fits.groupBy("doc_id", "cell_no", "first_at").agg(best, F.size(F.collect_set("item_id")).alias("n_items"))
     return out.select("doc_id", "cell_no", "first_at", (-F.col("best.w")).alias("n_windows"), "best.item_id", "n_items", "best.n_changed")
