@@ -183,8 +183,10 @@ def corpus_windows(docs: DataFrame, cells: DataFrame, width: int = WIDTH, templa
     return with_cells(docs, cells).mapInArrow(_arrow_windows(pieces, ["doc_id", "cell_no"], schema, width, templates), f"doc_id bigint, cell_no int, {WINDOW}")
 
 
-def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Every pair of a corpus window and an evaluation window of one template.
+def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH, same_slots: bool = False) -> DataFrame:
+    """Every pair of a corpus window and an evaluation window of one template; with ``same_slots`` those of equal words.
+
+    Equal words are part of the join's key, so a template that many items share multiplies nothing.
 
     ``doc_id, cell_no, at, words, slots, item_id, field, item_at, item_words, item_slots``; slots are the words that
     became placeholders.
@@ -195,8 +197,11 @@ def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width:
     distinct = known.select("template").distinct().limit(TEMPLATES_SENT + 1)
     sent = distinct.toPandas()["template"].to_numpy(np.int64) if known.limit(TEMPLATES_SENT + 1).count() <= TEMPLATES_SENT else None
     corpus = corpus_windows(docs, cells, width, sent)
-    evals = known.select("template", "item_id", "field", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
-    return corpus.join(small(evals), "template").drop("template")
+    evals = known.select(F.col("template").alias("item_template"), "item_id", "field", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
+    on = F.col("template") == F.col("item_template")
+    if same_slots:
+        on = on & (F.col("words") == F.col("item_words"))
+    return corpus.join(small(evals), on).drop("template", "item_template")
 
 
 def verbatim_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -207,7 +212,7 @@ def verbatim_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: i
     and answers give nothing; a passage across two cells does not count; repeated rows count once; empty tables give
     an empty table.  Only the named columns are read.
     """
-    same = template_matches(docs, cells, items, width).where(F.col("words") == F.col("item_words"))
+    same = template_matches(docs, cells, items, width, same_slots=True)
     return same.groupBy("doc_id", "item_id", "field", "cell_no").agg(F.size(F.collect_set("at")).alias("n_windows"), F.min("at").alias("first_at"))
 
 
