@@ -12,18 +12,19 @@ def _one(spark, **cols):
     return spark.range(1).select(*[c.alias(n) for n, c in cols.items()]).first()
 
 
-def _d(spark, system, cell, hkl):
-    m = cr.reciprocal_metric(*[F.lit(float(x)) for x in cell], F.lit(system))
-    return _one(spark, d=cr.d_spacing(*[F.lit(x) for x in hkl], m)).d
+def _spacings(spark, rows):
+    """Spacings of (system, cell, hkl) rows, in order."""
+    df = spark.createDataFrame([(i, s, *map(float, c), *t) for i, (s, c, t) in enumerate(rows)], "i int, s string, a double, b double, c double, al double, be double, ga double, h int, k int, l int")
+    m = df.select("i", "h", "k", "l", cr.reciprocal_metric("a", "b", "c", "al", "be", "ga", "s").alias("m"))
+    return [r.d for r in m.select("i", cr.d_spacing("h", "k", "l", "m").alias("d")).orderBy("i").collect()]
 
 
 def test_spacings_agree_with_the_triclinic_form(spark):
-    for system, cell in (("cubic", (4, 4, 4, 90, 90, 90)), ("tetragonal", (4, 4, 6, 90, 90, 90)), ("orthorhombic", (4, 5, 6, 90, 90, 90)), ("hexagonal", (4, 4, 6, 90, 90, 120)), ("trigonal", (4, 4, 6, 90, 90, 120)), ("monoclinic", (4, 5, 6, 90, 104, 90))):
-        for hkl in ((1, 0, 0), (1, 2, -3), (0, 1, 1), (2, -1, 1)):
-            assert _d(spark, system, cell, hkl) == pytest.approx(_d(spark, "triclinic", cell, hkl), rel=1e-9)
-    assert _d(spark, "cubic", (4, 4, 4, 90, 90, 90), (2, 0, 0)) == 2.0
-    assert _d(spark, "triclinic", (4, 4, 4, 130, 130, 130), (1, 0, 0)) is None
-    assert _d(spark, "cubic", (0, 0, 0, 90, 90, 90), (1, 0, 0)) is None and _d(spark, "unknown", (4, 4, 4, 90, 90, 90), (1, 0, 0)) is None
+    cells = (("cubic", (4, 4, 4, 90, 90, 90)), ("tetragonal", (4, 4, 6, 90, 90, 90)), ("orthorhombic", (4, 5, 6, 90, 90, 90)), ("hexagonal", (4, 4, 6, 90, 90, 120)), ("trigonal", (4, 4, 6, 90, 90, 120)), ("monoclinic", (4, 5, 6, 90, 104, 90)))
+    own = [(s, c, t) for s, c in cells for t in ((1, 0, 0), (1, 2, -3), (0, 1, 1), (2, -1, 1))]
+    assert _spacings(spark, own) == pytest.approx(_spacings(spark, [("triclinic", c, t) for _, c, t in own]), rel=1e-9)
+    odd = [("cubic", (4, 4, 4, 90, 90, 90), (2, 0, 0)), ("triclinic", (4, 4, 4, 130, 130, 130), (1, 0, 0)), ("cubic", (0, 0, 0, 90, 90, 90), (1, 0, 0)), ("unknown", (4, 4, 4, 90, 90, 90), (1, 0, 0))]
+    assert _spacings(spark, odd) == [2.0, None, None, None]
 
 
 def test_angles(spark):
