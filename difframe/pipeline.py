@@ -9,6 +9,7 @@ from difframe.functions.crystal import CU_KA
 from difframe.operators.fit import find_peaks, fit_candidates, fit_mixtures, scan_rows, weight_fractions
 from difframe.operators.relational import best_row
 from difframe.operators.search import fingerprints, match_phases, peak_windows
+from difframe.runtime import staged
 
 #: Wavelengths that count as Cu K-alpha.
 CU_RANGE = (1.535, 1.546)
@@ -20,20 +21,32 @@ def radiation_patterns(patterns: DataFrame, low: float = CU_RANGE[0], high: floa
     return best_row(own, ["cod_id"], ["calculated_at", "id"], ["wavelength", "reflections", "n_reflections"])
 
 
-def search(points: DataFrame, patterns: DataFrame, wavelength: float = CU_KA, top: int = 50, min_matches: int = 3, tolerance: float = 0.2, prominence_sigma: float = 5.0) -> DataFrame:
-    """``scan_id, cod_id, n_matched, rank``: candidate phases of every scan; scans without peaks have none."""
-    peaks = find_peaks(scan_rows(points), prominence_sigma)
+def _search(scans: DataFrame, patterns: DataFrame, wavelength: float = CU_KA, top: int = 50, min_matches: int = 3, tolerance: float = 0.2, prominence_sigma: float = 5.0) -> DataFrame:
+    # Read more than once below: detected and ranked once, then kept.
+    peaks = staged(find_peaks(scans, prominence_sigma), "peaks")
     return match_phases(fingerprints(patterns), peak_windows(peaks, wavelength, tolerance), min_matches, top)
 
 
-def identify(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
-    """Candidates of every scan, fitted and ranked by Rwp."""
-    found = search(points, patterns, **options).select("scan_id", "cod_id", "n_matched")
+def _identify(scans: DataFrame, patterns: DataFrame, **options) -> DataFrame:
+    found = staged(_search(scans, patterns, **options).select("scan_id", "cod_id", "n_matched"), "candidates")
     lines = radiation_patterns(patterns).select("cod_id", "reflections")
-    fits = fit_candidates(scan_rows(points), found.join(lines, "cod_id").select("scan_id", "cod_id", "reflections"))
+    fits = fit_candidates(scans, found.join(lines, "cod_id").select("scan_id", "cod_id", "reflections"))
     return fits.join(found, ["scan_id", "cod_id"])
 
 
+def search(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
+    """``scan_id, cod_id, n_matched, rank``: candidate phases of every scan; scans without peaks have none.
+
+    Options: ``wavelength``, ``top``, ``min_matches``, ``tolerance`` (degrees), ``prominence_sigma``.
+    """
+    return _search(staged(scan_rows(points), "scans"), patterns, **options)
+
+
+def identify(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
+    """Candidates of every scan, fitted and ranked by Rwp; options as in ``search``."""
+    return _identify(staged(scan_rows(points), "scans"), patterns, **options)
+
+
 def viable(fits: DataFrame, rwp: float = 0.15, chi2: float = 3.0) -> DataFrame:
     """Fits good enough to report."""
     return fits.where((F.col("rwp") < rwp) & (F.col("chi2") < chi2))
@@ -41,7 +54,8 @@ def viable(fits: DataFrame, rwp: float = 0.15, chi2: float = 3.0) -> DataFrame:
 
 def quantify(points: DataFrame, patterns: DataFrame, structures: DataFrame, top_k: int = 4, **options) -> DataFrame:
     """Weight fractions of each scan's ``top_k`` best phases, fitted together on the absolute basis."""
-    best = identify(points, patterns, **options).where(F.col("rank") <= top_k).select("scan_id", "cod_id")
+    scans = staged(scan_rows(points), "scans")
+    best = _identify(scans, patterns, **options).where(F.col("rank") <= top_k).select("scan_id", "cod_id")
     lines = radiation_patterns(patterns).select("cod_id", "reflections")
-    scales = fit_mixtures(scan_rows(points), best.join(lines, "cod_id"))
+    scales = fit_mixtures(scans, best.join(lines, "cod_id"))
     return weight_fractions(scales, structures)

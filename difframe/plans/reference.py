@@ -12,7 +12,7 @@ from difframe.operators import catalogue as cat
 from difframe.operators import fit, relational, search
 from difframe.operators.pattern import calculate_patterns, lines_of, structure_factors
 from difframe.plans.catalogue import query
-from difframe.runtime import shared_dir, table
+from difframe.runtime import shared_dir, staged, table
 from difframe.sources import cif, diffractogram, dump
 from difframe.streaming.upsert import latest, upsert_stream
 
@@ -57,7 +57,7 @@ def fingerprint_top30(spark, sf_dir):
 )
 def hanawalt_search(spark, sf_dir):
     """Structures whose number is divisible by 20, as unknown scans, against all fingerprints."""
-    prints = search.fingerprints(table(spark, sf_dir, "reference_patterns"), None)
+    prints = staged(search.fingerprints(table(spark, sf_dir, "reference_patterns"), None), "fingerprints")
     peaks = prints.where("cod_id % 20 = 0").select(F.col("cod_id").alias("scan_id"), F.col("rank").alias("peak_no"), cr.bragg_two_theta("d_hkl").alias("two_theta")).where("two_theta IS NOT NULL")
     return search.match_phases(prints, search.peak_windows(peaks), min_matches=2, top=50)
 
