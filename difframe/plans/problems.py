@@ -47,26 +47,41 @@ _CELL = f'(?:[^",]*|{_QUOTED})'
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+_NUMBER = "[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?(?:\\([0-9]+\\))?"
+
+
+def _as_double(i: int) -> str:
+    return f"CAST(regexp_replace(regexp_replace(v[{i}], '\\(.*', ''), '^\\+', '') AS DOUBLE)"
+
+
 def _bad(i: int, name: str, extra: str) -> str:
-    v = f"v[{i}]"
-    number = "[+-]?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:[eE][+-]?[0-9]+)?(?:\\([0-9]+\\))?"
-    x = f"CAST(regexp_replace(regexp_replace({v}, '\\(.*', ''), '^\\+', '') AS DOUBLE)"
-    return f"WHEN {v} NOT IN ('', '.', '?') AND (NOT regexp_full_match({v}, '{number}') OR CASE WHEN regexp_full_match({v}, '{number}') THEN {x} {extra} END) THEN '{name}'"
+    good = f"regexp_full_match(v[{i}], '{_NUMBER}')"
+    return f"WHEN v[{i}] NOT IN ('', '.', '?') AND (NOT {good} OR CASE WHEN {good} THEN {_as_double(i)} {extra} END) THEN '{name}'"
 
 
-@query(
-    "p4_found",
-    f"""WITH c AS (SELECT raw_id, line, regexp_full_match(line, '{_CELL}(?:,{_CELL})*') AS ok, len(regexp_replace(regexp_replace(line, '{_QUOTED}', 'q', 'g'), '[^,]', '', 'g')) + 1 AS n,
-              list_transform(regexp_extract_all(line, '({_CELL})(?:,|$)', 1), lambda f: trim(CASE WHEN f[1] = '"' THEN replace(f[2:-2], '""', '"') ELSE f END, {_BLANKS})) AS v FROM atomic_sites_raw)
-       SELECT raw_id, reason FROM (SELECT raw_id, CASE WHEN line IS NULL THEN 'column_count' WHEN NOT ok THEN 'quoting' WHEN n <> 10 THEN 'column_count'
-         {_bad(4, "fract_x", "IS NULL")} {_bad(7, "occupancy", "NOT BETWEEN 0 AND 1")} {_bad(8, "u_iso_or_equiv", "< 0")} END AS reason FROM c) WHERE reason IS NOT NULL""",
-)
+_SITE_CELLS = f"""SELECT *, regexp_full_match(line, '{_CELL}(?:,{_CELL})*') AS ok, len(regexp_replace(regexp_replace(line, '{_QUOTED}', 'q', 'g'), '[^,]', '', 'g')) + 1 AS n,
+  list_transform(regexp_extract_all(line, '({_CELL})(?:,|$)', 1), lambda f: trim(CASE WHEN f[1] = '"' THEN replace(f[2:-2], '""', '"') ELSE f END, {_BLANKS})) AS v FROM atomic_sites_raw"""
+_SITE_REASONS = f"""SELECT *, CASE WHEN line IS NULL THEN 'column_count' WHEN NOT ok THEN 'quoting' WHEN n <> 10 THEN 'column_count'
+  {_bad(4, "fract_x", "IS NULL")} {_bad(7, "occupancy", "NOT BETWEEN 0 AND 1")} {_bad(8, "u_iso_or_equiv", "< 0")} END AS reason FROM ({_SITE_CELLS})"""
+
+
+def _value(i: int) -> str:
+    return f"CASE WHEN regexp_full_match(v[{i}], '{_NUMBER}') THEN {_as_double(i)} END"
+
+
+@query("p4_found", f"SELECT raw_id, reason FROM ({_SITE_REASONS}) WHERE reason IS NOT NULL")
 def p4_found(spark, sf_dir):
     """Lines that cannot be loaded, with the first reason."""
     return load_lines(table(spark, sf_dir, "atomic_sites_raw"), "line", ["raw_id"]).where(F.col("reason").isNotNull()).select("raw_id", "reason")
 
 
-@query("p4_loaded")
+@query(
+    "p4_loaded",
+    f"""SELECT raw_id, batch, received_at, CASE WHEN {_value(1)} = floor({_value(1)}) AND abs({_value(1)}) < 2147483648 THEN CAST({_value(1)} AS INTEGER) END AS cod_id,
+        {", ".join(f"CASE WHEN v[{i}] NOT IN ('', '.', '?') THEN v[{i}] END AS {n}" for i, n in ((2, "label"), (3, "type_symbol"), (9, "wyckoff_symbol"), (10, "site_symmetry")))},
+        {", ".join(f"{_value(i)} AS {n}" for i, n in ((4, "fract_x"), (5, "fract_y"), (6, "fract_z"), (7, "occupancy"), (8, "u_iso_or_equiv")))}
+        FROM ({_SITE_REASONS}) WHERE reason IS NULL""",
+)
 def p4_loaded(spark, sf_dir):
     """The good lines as typed site rows."""
     return load_lines(table(spark, sf_dir, "atomic_sites_raw"), "line", ["raw_id", "batch", "received_at"]).where(F.col("reason").isNull()).drop("reason")
