@@ -35,7 +35,18 @@ def p1_found(spark, sf_dir):
     return reflection_nodes(table(spark, sf_dir, "reference_patterns_pymatgen")).select("id", "line_no", "family_no", "member_no", "h", "k", "l")
 
 
-@query("p1_lines")
+_NUMBERS_OF_LINES = ", ".join(f"TRY_CAST(e ->> '$.{path}' AS DOUBLE) AS {name}" for name, path in (("d_hkl", "d_hkl"), ("two_theta", "two_theta"), ("intensity_rel", "intensity_rel"), ("fwhm", "profile.fwhm"), ("eta", "profile.shape.eta")))
+
+
+@query(
+    "p1_lines",
+    f"""WITH t AS (SELECT DISTINCT id, cod_id, CAST(reflections AS JSON) AS j FROM reference_patterns_pymatgen WHERE json_valid(reflections)),
+         u AS (SELECT id, cod_id, {_UNWRAP.format("j")} AS j FROM (SELECT id, cod_id, {_UNWRAP.format("j")} AS j FROM t)),
+         a AS (SELECT id, cod_id, CASE WHEN json_type(j) = 'ARRAY' THEN j ELSE coalesce(j -> '$.lines', j -> '$.pattern.lines') END AS j FROM u),
+         l AS (SELECT id, cod_id, i AS line_no, j -> ('$[' || i || ']') AS e FROM (SELECT *, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS i FROM a WHERE json_type(j) = 'ARRAY'))
+       SELECT id, cod_id, CAST(line_no AS INTEGER) AS line_no, x[1] AS h, x[2] AS k, x[len(x)] AS l, {_NUMBERS_OF_LINES}, CAST(TRY_CAST(e ->> '$.multiplicity' AS DOUBLE) AS INTEGER) AS multiplicity
+       FROM (SELECT *, {_HKL} AS x FROM l WHERE json_type(e) <> 'NULL')""",
+)
 def p1_lines(spark, sf_dir):
     """The flat table of lines, keyed by Dewey label."""
     t = reflection_tables(table(spark, sf_dir, "reference_patterns_pymatgen"))["lines"]
