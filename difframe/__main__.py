@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from difframe.functions.crystal import CU_KA
-from difframe.pipeline import identify, quantify
+from difframe.pipeline import dropped, identify, quantify
 from difframe.sources.diffractogram import read_scans
 
 
@@ -29,6 +29,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         out = identify(points, patterns, top=a.top, wavelength=a.wavelength).orderBy("scan_id", "rank")
     out.show(200, truncate=False)
+    lost = dropped(points, patterns, top=a.top, wavelength=a.wavelength).orderBy("scan_id", "rank")
+    if not lost.isEmpty():
+        print("Hits without a Cu pattern, not fitted:")
+        lost.show(200, truncate=False)
 
 
 if __name__ == "__main__":

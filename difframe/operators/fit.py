@@ -11,6 +11,10 @@ from difframe.functions.crystal import cell_volume
 from difframe.operators.kernels import INSTRUMENT, absolute_weights, detect_peaks, figures, line_profile, mixture_fit, weighted_fit
 
 
+#: Candidates that are fitted to one copy of their scan.
+PHASES_A_ROW = 64
+
+
 def scan_rows(points: DataFrame) -> DataFrame:
     """``scan_id, tth, iobs, sigma`` with one row per scan (arrays by angle) from points ``scan_id, tth, iobs, sigma``."""
     p = points.where("tth IS NOT NULL AND iobs IS NOT NULL").groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("tth", "iobs", "sigma"))).alias("p"))
@@ -47,8 +51,14 @@ def _line_arrays(c: DataFrame) -> DataFrame:
 
 def fit_candidates(scans: DataFrame, candidates: DataFrame, absolute: bool = False, **instrument) -> DataFrame:
     """``scan_id, cod_id, scale, rwp, rp, rexp, chi2, n_peaks, rank`` of every candidate (``scan_id, cod_id,
-    reflections``) fitted alone to its scan; rank by rwp, then cod_id.  A candidate without usable lines gets scale 0."""
+    reflections``) fitted alone to its scan; rank by rwp, then cod_id.  A candidate without usable lines gets scale 0.
+
+    A scan travels once for every ``PHASES_A_ROW`` candidates, not with each of them.
+    """
     opt = {**INSTRUMENT, **instrument}
+    line = F.struct("cod_id", *[f"r_{n}" for n in ("two_theta", "intensity_rel", "multiplicity", "f_sq")])
+    place = F.row_number().over(Window.partitionBy("scan_id").orderBy("cod_id")) - 1
+    groups = _line_arrays(candidates).withColumn("chunk", F.floor(place / PHASES_A_ROW)).groupBy("scan_id", "chunk").agg(F.collect_list(line).alias("phases"))
 
     def run(batches):
         import numpy as np
@@ -58,16 +68,17 @@ def fit_candidates(scans: DataFrame, candidates: DataFrame, absolute: bool = Fal
             out = []
             for r in pdf.itertuples(index=False):
                 t, i, e = (np.asarray(x, float) for x in (r.tth, r.iobs, r.sigma))
-                pos = np.asarray(r.r_two_theta, float)
-                w = absolute_weights(pos, np.asarray(r.r_multiplicity, float), np.asarray(r.r_f_sq, float)) if absolute else np.asarray(r.r_intensity_rel, float)
-                unit, used = line_profile(t, pos, w, **opt)
-                scale, calc = weighted_fit(t, i, e, unit, opt["n_bg"])
-                f = figures(i, calc, e, 1 + opt["n_bg"])
-                out.append((r.scan_id, r.cod_id, scale if used else 0.0, f["rwp"], f["rp"], f["rexp"], f["chi2"], used))
+                for x in r.phases:
+                    pos = np.asarray(x["r_two_theta"], float)
+                    w = absolute_weights(pos, np.asarray(x["r_multiplicity"], float), np.asarray(x["r_f_sq"], float)) if absolute else np.asarray(x["r_intensity_rel"], float)
+                    unit, used = line_profile(t, pos, w, **opt)
+                    scale, calc = weighted_fit(t, i, e, unit, opt["n_bg"])
+                    f = figures(i, calc, e, 1 + opt["n_bg"])
+                    out.append((r.scan_id, x["cod_id"], scale if used else 0.0, f["rwp"], f["rp"], f["rexp"], f["chi2"], used))
             yield pd.DataFrame(out, columns=["scan_id", "cod_id", "scale", "rwp", "rp", "rexp", "chi2", "n_peaks"])
 
     s, c = scans.schema["scan_id"].dataType.simpleString(), candidates.schema["cod_id"].dataType.simpleString()
-    fits = _line_arrays(candidates).join(scans.where(F.size("tth") > 0), "scan_id").mapInPandas(run, f"scan_id {s}, cod_id {c}, scale double, rwp double, rp double, rexp double, chi2 double, n_peaks int")
+    fits = groups.join(scans.where(F.size("tth") > 0), "scan_id").mapInPandas(run, f"scan_id {s}, cod_id {c}, scale double, rwp double, rp double, rexp double, chi2 double, n_peaks int")
     return fits.withColumn("rank", F.row_number().over(Window.partitionBy("scan_id").orderBy("rwp", "cod_id")))
 
 

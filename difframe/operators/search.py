@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from difframe.functions.crystal import CU_KA, d_window
@@ -33,13 +33,16 @@ def peak_windows(peaks: DataFrame, wavelength: float = CU_KA, tolerance: float =
     return peaks.select("scan_id", "peak_no", F.round(w["d_lo"], 6).alias("d_lo"), F.round(w["d_hi"], 6).alias("d_hi"))
 
 
-def match_phases(prints: DataFrame, windows: DataFrame, min_matches: int = 3, top: int = 50) -> DataFrame:
+def match_phases(prints: DataFrame, windows: DataFrame, min_matches: int = 3, top: int = 50, ties: bool = False) -> DataFrame:
     """``scan_id, cod_id, n_matched, rank``: phases by the number of distinct peaks of a scan they explain.
 
-    Every scan is searched at once.  The count is exact; ties go to the smaller cod_id.
+    Every scan is searched at once.  The count is exact; ties go to the smaller cod_id or, with ``ties``, share a rank,
+    so that every phase that ties at the last place is kept.
     """
     hits = range_join(prints.select("cod_id", "d_hkl"), windows, "d_hkl", "d_lo", "d_hi", LOG_D_BIN, F.log)
     counts = hits.groupBy("scan_id", "cod_id").agg(F.countDistinct("peak_no").cast("int").alias("n_matched")).where(F.col("n_matched") >= min_matches)
+    if ties:
+        return counts.withColumn("rank", F.rank().over(Window.partitionBy("scan_id").orderBy(F.desc("n_matched")))).where(F.col("rank") <= top)
     return top_ranked(counts, ["scan_id"], [F.desc("n_matched"), F.asc("cod_id")], top)
 
 

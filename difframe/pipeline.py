@@ -8,23 +8,29 @@ from pyspark.sql import functions as F
 from difframe.functions.crystal import CU_KA
 from difframe.operators.fit import find_peaks, fit_candidates, fit_mixtures, scan_rows, weight_fractions
 from difframe.operators.relational import best_row
-from difframe.operators.search import fingerprints, match_phases, peak_windows
+from difframe.operators.search import dropped_hits, fingerprints, match_phases, peak_windows
 from difframe.runtime import staged
 
 #: Wavelengths that count as Cu K-alpha.
 CU_RANGE = (1.535, 1.546)
 
 
+def _of_radiation(patterns: DataFrame, low: float = CU_RANGE[0], high: float = CU_RANGE[1]) -> DataFrame:
+    return patterns.where(F.col("has_intensities") & F.col("wavelength").between(low, high))
+
+
 def radiation_patterns(patterns: DataFrame, low: float = CU_RANGE[0], high: float = CU_RANGE[1]) -> DataFrame:
     """The latest pattern with intensities of every structure for one radiation."""
-    own = patterns.where(F.col("has_intensities") & F.col("wavelength").between(low, high))
-    return best_row(own, ["cod_id"], ["calculated_at", "id"], ["wavelength", "reflections", "n_reflections"])
+    return best_row(_of_radiation(patterns, low, high), ["cod_id"], ["calculated_at", "id"], ["wavelength", "reflections", "n_reflections"])
 
 
-def _search(scans: DataFrame, patterns: DataFrame, wavelength: float = CU_KA, top: int = 50, min_matches: int = 3, tolerance: float = 0.2, prominence_sigma: float = 5.0) -> DataFrame:
+def _search(scans: DataFrame, patterns: DataFrame, wavelength: float = CU_KA, top: int = 50, min_matches: int = 3, tolerance: float = 0.2, prominence_sigma: float = 5.0, fitted_only: bool = True) -> DataFrame:
     # Read more than once below: detected and ranked once, then kept.
     peaks = staged(find_peaks(scans, prominence_sigma), "peaks")
-    return match_phases(fingerprints(patterns), peak_windows(peaks, wavelength, tolerance), min_matches, top)
+    prints = fingerprints(patterns)
+    if fitted_only:  # before ranking: a structure that cannot be fitted takes no place
+        prints = prints.join(_of_radiation(patterns).select("cod_id"), "cod_id", "left_semi")
+    return match_phases(prints, peak_windows(peaks, wavelength, tolerance), min_matches, top, ties=True)
 
 
 def _identify(scans: DataFrame, patterns: DataFrame, **options) -> DataFrame:
@@ -37,6 +43,7 @@ def _identify(scans: DataFrame, patterns: DataFrame, **options) -> DataFrame:
 def search(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
     """``scan_id, cod_id, n_matched, rank``: candidate phases of every scan; scans without peaks have none.
 
+    Only structures with a pattern of the radiation are ranked, and all that tie at the place ``top`` are kept.
     Options: ``wavelength``, ``top``, ``min_matches``, ``tolerance`` (degrees), ``prominence_sigma``.
     """
     return _search(staged(scan_rows(points), "scans"), patterns, **options)
@@ -47,6 +54,13 @@ def identify(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
     return _identify(staged(scan_rows(points), "scans"), patterns, **options)
 
 
+def dropped(points: DataFrame, patterns: DataFrame, **options) -> DataFrame:
+    """``scan_id, cod_id, n_matched, rank``: hits among all structures that ``identify`` cannot fit, for want of a
+    pattern of the radiation; options as in ``search``."""
+    found = _search(staged(scan_rows(points), "scans"), patterns, fitted_only=False, **options)
+    return dropped_hits(found, _of_radiation(patterns))
+
+
 def viable(fits: DataFrame, rwp: float = 0.15, chi2: float = 3.0) -> DataFrame:
     """Fits good enough to report."""
     return fits.where((F.col("rwp") < rwp) & (F.col("chi2") < chi2))

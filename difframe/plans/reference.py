@@ -358,18 +358,27 @@ def simulated_scans(spark, sf_dir, every: int = 20, step: float = 0.05) -> DataF
 
 @query("identify_scans")
 def identify_scans(spark, sf_dir):
-    """Simulated scans identified against all patterns: fits of the candidates, ranked."""
-    out = pipeline.identify(simulated_scans(spark, sf_dir), table(spark, sf_dir, "reference_patterns"), min_matches=1, top=10)
+    """Simulated scans identified against all patterns: fits of the candidates, ranked.
+
+    One match is enough: a simulated scan has as many lines as its stored pattern, mostly one or two.
+    """
+    out = pipeline.identify(simulated_scans(spark, sf_dir), table(spark, sf_dir, "reference_patterns"), min_matches=1)
     return out.select("scan_id", "cod_id", "n_matched", r("rwp", 4).alias("rwp"), r("chi2", 3).alias("chi2"), cr.fit_quality("rwp", "chi2").alias("quality"), "n_peaks", "rank")
 
 
 @query("quantify_scans")
 def quantify_scans(spark, sf_dir):
     """Weight fractions of the phases found in the simulated scans."""
-    out = pipeline.quantify(simulated_scans(spark, sf_dir), table(spark, sf_dir, "reference_patterns"), structures(spark, sf_dir), top_k=3, min_matches=1, top=10)
+    out = pipeline.quantify(simulated_scans(spark, sf_dir), table(spark, sf_dir, "reference_patterns"), structures(spark, sf_dir), min_matches=1)
     return out.select("scan_id", "cod_id", r("weight_pct", 3).alias("weight_pct"))
 
 
+@query("dropped_scan_hits")
+def dropped_scan_hits(spark, sf_dir):
+    """Hits of the simulated scans that have no Cu pattern, so that identify_scans cannot fit them."""
+    return pipeline.dropped(simulated_scans(spark, sf_dir), table(spark, sf_dir, "reference_patterns"), min_matches=1)
+
+
 @query(
     "weight_fractions",
     f"""WITH {_MASS}, s AS (SELECT d.sgnumber AS scan_id, d.file AS cod_id, coalesce(d.gofall, 1.0) AS scale, d.z, m.mass, {_VOLUME.replace("(a *", "(d.a *")} AS volume FROM cod_data d LEFT JOIN mass m ON m.cod_id = d.file WHERE d.sgnumber IS NOT NULL),

@@ -91,3 +91,30 @@ def test_identify_end_to_end(spark):
     best = {r.scan_id: r for r in pipeline.identify(points, patterns, min_matches=2).where("rank = 1").collect()}
     assert best["x"].cod_id == 2 and best["y"].cod_id == 1 and best["x"].rwp < 1e-3
     assert pipeline.viable(pipeline.identify(points, patterns, min_matches=2)).count() >= 2
+
+
+def test_ties_and_unfittable_hits(spark):
+    """Every phase that ties at the last place is fitted, and one without a Cu pattern takes no place."""
+    kind = "id long, cod_id int, wavelength double, rad_symbol string, has_intensities boolean, n_reflections int, calculated_at timestamp, " + KIND.split(", ", 2)[2]
+    pat = [Row(id=i, cod_id=i, wavelength=w, rad_symbol="x", has_intensities=True, n_reflections=3, calculated_at=None, reflections=x) for i, w, x in ((1, 0.71073, A), (2, 1.54056, A), (3, 1.54056, A), (4, 1.54056, C))]
+    patterns, points = spark.createDataFrame(pat, kind), _points(spark, 20 * _unit(A) + 100)
+    assert {r.cod_id for r in pipeline.identify(points, patterns, top=1).collect()} == {2, 3}
+    assert [(r.cod_id, r.n_matched) for r in pipeline.dropped(points, patterns, top=1).collect()] == [(1, 3)]
+
+
+def test_many_candidates_of_one_scan(spark):
+    cand = spark.createDataFrame([("s", i, A) for i in range(150)], KIND)
+    r = fit_candidates(scan_rows(_points(spark, 10 * _unit(A) + 50 + 2 * T)), cand).collect()
+    assert sorted(x.cod_id for x in r) == list(range(150)) and all(x.scale == pytest.approx(10, rel=1e-6) for x in r)
+
+
+def test_registered_scan_queries_cut_nothing(spark, sf, monkeypatch):
+    from difframe.plans import catalogue, reference
+
+    seen = []
+    keep = lambda *a, top=50, top_k=4, **o: seen.append((top, top_k)) or spark.range(0).selectExpr("id scan_id", "id cod_id", "0 n_matched", "0d rwp", "0d chi2", "0 n_peaks", "0 rank", "0d weight_pct")
+    monkeypatch.setattr(reference.pipeline, "identify", keep)
+    monkeypatch.setattr(reference.pipeline, "quantify", keep)
+    for n in ("identify_scans", "quantify_scans"):
+        catalogue.QUERIES[n](spark, sf)
+    assert seen == [(50, 4), (50, 4)]
