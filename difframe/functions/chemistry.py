@@ -68,15 +68,25 @@ def scattering_factor(element, s, table: dict[str, tuple] | None = None) -> Colu
     ``table`` maps elements to Cromer-Mann coefficients (a1..a4, b1..b4, c) and extends the built-in ones; elements in
     neither fall off as Z exp(-3 s^2), a blank symbol counts 1.
     """
+    return scattering_at(scattering_law(element, table), s)
+
+
+def scattering_law(element, table: dict[str, tuple] | None = None) -> Column:
+    """struct(blank, c, z) of an element: what ``scattering_at`` needs, looked up once and not for every line."""
     e = F.col(element) if isinstance(element, str) else element
-    s2 = (F.col(s) if isinstance(s, str) else s) * (F.col(s) if isinstance(s, str) else s)
     known = F.create_map(*[x for k, v in {**CROMER_MANN, **(table or {})}.items() for x in (F.lit(k), F.array(*[F.lit(float(y)) for y in v]))])
     z = _map({x: i + 1 for i, x in enumerate(ELEMENTS)})
-    c = known[e]
+    return F.struct((e == "").alias("blank"), known[e].alias("c"), F.coalesce(z[e], F.lit(1)).cast("double").alias("z"))
+
+
+def scattering_at(law, s) -> Column:
+    """Atomic scattering factor at ``s`` by a ``scattering_law``."""
+    s2 = (F.col(s) if isinstance(s, str) else s) * (F.col(s) if isinstance(s, str) else s)
+    c = law["c"]
     exact = c[8]
     for i in range(4):
         exact = exact + c[i] * F.exp(-c[i + 4] * s2)
-    return F.when(e == "", 1.0).when(c.isNotNull(), exact).otherwise(F.coalesce(z[e], F.lit(1)).cast("double") * F.exp(-3.0 * s2))
+    return F.when(law["blank"], 1.0).when(c.isNotNull(), exact).otherwise(law["z"] * F.exp(-3.0 * s2))
 
 
 def density(z, mass, volume) -> Column:

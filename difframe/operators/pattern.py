@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from difframe.functions.chemistry import element_symbol, scattering_factor
-from difframe.functions.crystal import bragg_two_theta, cell_volume, centering_allowed, crystal_system, d_spacing, lattice_type, lorentz_polarization, multiplicity, reciprocal_metric
-from difframe.operators.relational import first_seen
+from difframe.functions.chemistry import element_symbol, scattering_at, scattering_law
+from difframe.functions.crystal import SYSTEMS, bragg_two_theta, cell_volume, centering_allowed, crystal_system, d_spacing, lattice_type, lorentz_polarization, multiplicity, reciprocal_metric
 
 #: Cells larger than this (cubic angstrom) are refused before the grid is expanded.
 MAX_VOLUME = 20_000.0
@@ -15,24 +16,52 @@ MAX_VOLUME = 20_000.0
 MIN_D = 0.4
 
 
+#: Tasks of the grid per shuffle partition: lines are many more than structures.
+GRID_TASKS = 8
+
+
+def _systems():
+    return F.array(*[F.lit(name) for _, name in SYSTEMS], F.lit("unknown"))
+
+
+def _reach(cell: list, system, wavelength: float, two_theta_max: float, hkl_max: int) -> list:
+    """``h_max, k_max, l_max``: the largest indices that a line within the limits can have, at most ``hkl_max``."""
+    a, b, c, alpha, beta, gamma = (F.col(x) if isinstance(x, str) else x for x in cell)
+    shortest = max(MIN_D, wavelength / (2 * math.sin(math.radians(min(two_theta_max, 180.0) / 2))))
+    x, y, z = (F.cos(F.radians(v)) for v in (alpha, beta, gamma))
+    # Nearly flat cells, whose metric is not exact, get the full grid.
+    sound = F.when(system == "triclinic", 1.0 - x * x - y * y - z * z + 2.0 * x * y * z > 1e-6).when(system == "monoclinic", 1.0 - y * y > 1e-6).otherwise(True)
+    axes = (a, F.when(system.isin("cubic", "tetragonal", "hexagonal", "trigonal"), a).otherwise(b), F.when(system == "cubic", a).otherwise(c))
+    most = lambda v: F.when(sound, F.least(F.lit(float(hkl_max)), F.floor(v / shortest * 1.000001).cast("double"))).otherwise(float(hkl_max)).cast("int")
+    return [most(v).alias(n) for v, n in zip(axes, ("h_max", "k_max", "l_max"), strict=True)]
+
+
 def lines_of(structures: DataFrame, wavelength: float, two_theta_min: float = 5.0, two_theta_max: float = 90.0, hkl_max: int = 15, physical: bool = False) -> DataFrame:
     """``cod_id, h, k, l, d, two_theta, multiplicity`` of every structure: one half space of indices, centring and
     angle limits applied, the first of lines that share a spacing to 0.001.
 
-    The index grid is an array literal exploded per structure inside the scan stage, so nothing is broadcast or
-    shuffled before the filters; the only shuffle is the first-seen aggregate, which combines on the map side.
+    Structures, not lines, are shuffled: spread by cod_id before the index grid is expanded, so that the first-seen
+    aggregate and all that follows by cod_id happens in place.  A structure's grid ends where its axes allow no line
+    within the limits (an index is at most axis / spacing), so that long axes alone cost the full grid.
     """
-    span = F.sequence(F.lit(-hkl_max), F.lit(hkl_max))
     s = structures.where("a > 0 AND b > 0 AND c > 0 AND sgnumber IS NOT NULL")
     cell = ["a", "b", "c", *[F.coalesce(F.col(x), F.lit(90.0)) for x in ("alpha", "beta", "gamma")]]
     system = crystal_system("sgnumber")
-    s = s.where(cell_volume(*cell) <= MAX_VOLUME).select("cod_id", reciprocal_metric(*cell, system).alias("metric"), system.alias("system"), lattice_type("sg").alias("lattice"))
-    s = s.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(hkl_max)))).withColumn("k", F.explode(span)).withColumn("l", F.explode(span))
+    s = s.where(cell_volume(*cell) <= MAX_VOLUME).select("cod_id", reciprocal_metric(*cell, system).alias("metric"), F.array_position(_systems(), system).cast("int").alias("system"), lattice_type("sg").alias("lattice"), *_reach(cell, system, wavelength, two_theta_max, hkl_max))
+    s = s.repartition(GRID_TASKS * int(s.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cod_id")
+    span = lambda n: F.explode(F.sequence(-F.col(n), F.col(n)))
+    s = s.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("h_max")))).withColumn("k", span("k_max")).withColumn("l", span("l_max"))
     s = s.where("h > 0 OR k > 0 OR (k = 0 AND l > 0)").where(centering_allowed("h", "k", "l", "lattice"))
     # Through a generator, so that the spacing is computed once and not again in every later expression.
     s = s.select("cod_id", "system", "h", "k", "l", F.explode(F.array(d_spacing("h", "k", "l", "metric"))).alias("d")).where(F.col("d") >= MIN_D)
     s = s.withColumn("two_theta", bragg_two_theta("d", wavelength)).where(F.col("two_theta").between(two_theta_min, two_theta_max))
-    kept = first_seen(s.select("cod_id", "system", "h", "k", "l", "d", "two_theta", F.bround(F.col("d") * 1000).cast("long").alias("d_key")), ["cod_id", "d_key"], ["h", "k", "l"])
+    # The visiting order as one number: numbers alone are aggregated by hash.
+    side = 2 * hkl_max + 1
+    order = (F.col("h") * side + F.col("k") + hkl_max) * side + F.col("l") + hkl_max
+    lines = s.select("cod_id", "system", "d", "two_theta", F.bround(F.col("d") * 1000).cast("long").alias("d_key"), order.alias("o"))
+    kept = lines.groupBy("cod_id", "d_key").agg(F.min("o").alias("o"), *[F.min_by(c, "o").alias(c) for c in ("system", "d", "two_theta")])
+    whole = lambda x: F.floor(x).cast("int")
+    kept = kept.select("cod_id", "d", "two_theta", F.element_at(_systems(), F.col("system")).alias("system"), whole(F.col("o") / (side * side)).alias("h"), (whole(F.col("o") / side) % side - hkl_max).alias("k"), (F.col("o") % side - hkl_max).alias("l"))
     return kept.withColumn("multiplicity", multiplicity("h", "k", "l", "system", physical)).select("cod_id", "h", "k", "l", "d", "two_theta", "multiplicity")
 
 
@@ -44,20 +73,22 @@ def structure_factors(lines: DataFrame, sites: DataFrame, table: dict | None = N
     own patterns.
     """
     nz = lambda c, d: F.when(F.col(c).isNull() | (F.col(c) == 0), d).otherwise(F.col(c))
-    site = F.struct(element_symbol("type_symbol").alias("e"), *[nz(f"fract_{x}", 0.0).alias(x) for x in "xyz"], nz("occupancy", 1.0).alias("occ"), F.greatest(nz("u_iso_or_equiv", 0.0), F.lit(0.0)).alias("u"), F.col("label").alias("label"))
+    site = F.struct(element_symbol("type_symbol").alias("e"), *[nz(f"fract_{x}", 0.0).alias(x) for x in "xyz"], nz("occupancy", 1.0).alias("occ"), F.greatest(nz("u_iso_or_equiv", 0.0), F.lit(0.0)).alias("u"), F.col("label").alias("label"), scattering_law(element_symbol("type_symbol"), table).alias("law"))
     by = sites.groupBy("cod_id").agg(F.array_sort(F.collect_set(site)).alias("sites"))
     joined = lines.join(by, "cod_id", "left")
     s = 1.0 / (2.0 * F.col("d"))
 
     def amplitude(x):
-        return scattering_factor(x["e"], s, table) * x["occ"] * F.exp(-8.0 * F.lit(9.869604401089358) * x["u"] * s * s)
+        return scattering_at(x["law"], s) * x["occ"] * F.exp(-8.0 * F.lit(9.869604401089358) * x["u"] * s * s)
 
     def phase(x):
         return 2.0 * F.lit(3.141592653589793) * (F.col("h") * x["x"] + F.col("k") * x["y"] + F.col("l") * x["z"])
 
-    re = F.aggregate("sites", F.lit(0.0), lambda t, x: t + amplitude(x) * F.cos(phase(x)))
-    im = F.aggregate("sites", F.lit(0.0), lambda t, x: t + amplitude(x) * F.sin(phase(x)))
-    return joined.withColumn("f_sq", re * re + im * im).drop("sites")
+    # In two steps, so that every site's amplitude is computed once for both parts.
+    waves = joined.withColumn("sites", F.transform("sites", lambda x: F.struct(amplitude(x).alias("f"), phase(x).alias("p"))))
+    re = F.aggregate("sites", F.lit(0.0), lambda t, x: t + x["f"] * F.cos(x["p"]))
+    im = F.aggregate("sites", F.lit(0.0), lambda t, x: t + x["f"] * F.sin(x["p"]))
+    return waves.withColumn("f_sq", re * re + im * im).drop("sites")
 
 
 def with_intensity(lines: DataFrame) -> DataFrame:

@@ -274,8 +274,8 @@ def structure_factor(spark, sf_dir):
 
 @query("calculated_patterns")
 def calculated_patterns(spark, sf_dir):
-    """Patterns with intensities of every structure up to index 4, from cells and sites."""
-    out = calculate_patterns(structures(spark, sf_dir), table(spark, sf_dir, "atomic_sites"), cr.CU_KA, hkl_max=4)
+    """Patterns with intensities of every structure over the whole index grid, from cells and sites."""
+    out = calculate_patterns(structures(spark, sf_dir), table(spark, sf_dir, "atomic_sites"), cr.CU_KA)
     strongest = F.aggregate("reflections", F.lit(0.0), lambda m, x: F.greatest(m, F.coalesce(x["intensity_rel"], F.lit(0.0))))
     return out.select("cod_id", "n_reflections", "has_intensities", strongest.alias("strongest"))
 

@@ -113,3 +113,17 @@ def test_patterns_with_and_without_sites(spark):
     assert not r[2].has_intensities and r[2].n_reflections == r[1].n_reflections
     angles = [x.two_theta for x in r[1].reflections]
     assert angles == sorted(angles)
+
+
+def test_registered_patterns_use_the_whole_grid(spark, tmp_path):
+    """Every line of the full grid, also of long and of flat cells, against brute force."""
+    from difframe.plans.reference import calculated_patterns
+
+    cells = {1: ((5.1, 6.3, 7.7, 81.0, 95.0, 103.0), 2, "P -1", "triclinic", "P"), 2: ((14.2, 6.3, 17.7, 90.0, 131.0, 90.0), 15, "I 2/a", "monoclinic", "I"), 3: ((4.0, 5.0, 24.0, 35.0, 40.0, 70.0), 2, "P -1", "triclinic", "P")}
+    df = _structures(spark, [(i, *c, n, s) for i, (c, n, s, _, _) in cells.items()])
+    want = {i: _numpy_lines(c, system, lattice, 15) for i, (c, _, _, system, lattice) in cells.items()}
+    got = lines_of(df, cr.CU_KA).select("cod_id", F.round("d", 6).alias("d")).collect()
+    assert all(sorted(r.d for r in got if r.cod_id == i) == want[i] for i in cells)
+    df.withColumnRenamed("cod_id", "file").write.parquet(str(tmp_path / "cod_data.parquet"))
+    spark.createDataFrame([], "cod_id int, label string, type_symbol string, fract_x double, fract_y double, fract_z double, occupancy double, u_iso_or_equiv double").write.parquet(str(tmp_path / "atomic_sites.parquet"))
+    assert {r.cod_id: r.n_reflections for r in calculated_patterns(spark, str(tmp_path)).collect()} == {i: len(w) for i, w in want.items()}
