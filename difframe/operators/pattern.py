@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from difframe.functions.chemistry import element_symbol, scattering_at, scattering_law
 from difframe.functions.crystal import SYSTEMS, bragg_two_theta, cell_volume, centering_allowed, crystal_system, d_spacing, lattice_type, lorentz_polarization, multiplicity, reciprocal_metric
 
-#: Cells larger than this (cubic angstrom) are refused before the grid is expanded.
+#: Cells larger than this (cubic angstrom) are left out of a bare list of lines, unless asked for; patterns have all.
 MAX_VOLUME = 20_000.0
 #: Smallest spacing listed.
 MIN_D = 0.4
@@ -36,9 +36,10 @@ def _reach(cell: list, system, wavelength: float, two_theta_max: float, hkl_max:
     return [most(v).alias(n) for v, n in zip(axes, ("h_max", "k_max", "l_max"), strict=True)]
 
 
-def lines_of(structures: DataFrame, wavelength: float, two_theta_min: float = 5.0, two_theta_max: float = 90.0, hkl_max: int = 15, physical: bool = False) -> DataFrame:
+def lines_of(structures: DataFrame, wavelength: float, two_theta_min: float = 5.0, two_theta_max: float = 90.0, hkl_max: int = 15, physical: bool = False, max_volume: float | None = MAX_VOLUME) -> DataFrame:
     """``cod_id, h, k, l, d, two_theta, multiplicity`` of every structure: one half space of indices, centring and
-    angle limits applied, the first of lines that share a spacing to 0.001.
+    angle limits applied, the first of lines that share a spacing to 0.001.  Cells above ``max_volume`` (None: no limit)
+    are left out.
 
     Structures, not lines, are shuffled: spread by cod_id before the index grid is expanded, so that the first-seen
     aggregate and all that follows by cod_id happens in place.  A structure's grid ends where its axes allow no line
@@ -47,7 +48,9 @@ def lines_of(structures: DataFrame, wavelength: float, two_theta_min: float = 5.
     s = structures.where("a > 0 AND b > 0 AND c > 0 AND sgnumber IS NOT NULL")
     cell = ["a", "b", "c", *[F.coalesce(F.col(x), F.lit(90.0)) for x in ("alpha", "beta", "gamma")]]
     system = crystal_system("sgnumber")
-    s = s.where(cell_volume(*cell) <= MAX_VOLUME).select("cod_id", reciprocal_metric(*cell, system).alias("metric"), F.array_position(_systems(), system).cast("int").alias("system"), lattice_type("sg").alias("lattice"), *_reach(cell, system, wavelength, two_theta_max, hkl_max))
+    if max_volume is not None:
+        s = s.where(cell_volume(*cell) <= max_volume)
+    s = s.select("cod_id", reciprocal_metric(*cell, system).alias("metric"), F.array_position(_systems(), system).cast("int").alias("system"), lattice_type("sg").alias("lattice"), *_reach(cell, system, wavelength, two_theta_max, hkl_max))
     s = s.repartition(GRID_TASKS * int(s.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cod_id")
     span = lambda n: F.explode(F.sequence(-F.col(n), F.col(n)))
     s = s.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("h_max")))).withColumn("k", span("k_max")).withColumn("l", span("l_max"))
@@ -100,6 +103,6 @@ def with_intensity(lines: DataFrame) -> DataFrame:
 
 def calculate_patterns(structures: DataFrame, sites: DataFrame, wavelength: float, **limits) -> DataFrame:
     """``cod_id, reflections, n_reflections, has_intensities``: one row per structure with lines, sorted by angle."""
-    lines = with_intensity(structure_factors(lines_of(structures, wavelength, **limits), sites))
+    lines = with_intensity(structure_factors(lines_of(structures, wavelength, **{"max_volume": None, **limits}), sites))
     line = F.struct(F.round("two_theta", 4).alias("two_theta"), "h", "k", "l", F.round("d", 5).alias("d_hkl"), "multiplicity", F.round("f_sq", 4).alias("f_sq"), "intensity_rel")
     return lines.groupBy("cod_id").agg(F.array_sort(F.collect_list(line)).alias("reflections"), F.count(F.lit(1)).cast("int").alias("n_reflections"), F.max(F.col("intensity_rel").isNotNull()).alias("has_intensities"))

@@ -127,3 +127,10 @@ def test_registered_patterns_use_the_whole_grid(spark, tmp_path):
     df.withColumnRenamed("cod_id", "file").write.parquet(str(tmp_path / "cod_data.parquet"))
     spark.createDataFrame([], "cod_id int, label string, type_symbol string, fract_x double, fract_y double, fract_z double, occupancy double, u_iso_or_equiv double").write.parquet(str(tmp_path / "atomic_sites.parquet"))
     assert {r.cod_id: r.n_reflections for r in calculated_patterns(spark, str(tmp_path)).collect()} == {i: len(w) for i, w in want.items()}
+
+
+def test_large_cells_have_patterns(spark):
+    st = _structures(spark, [(1, 30.0, 30.0, 30.0, 90.0, 90.0, 90.0, 225, "F")])
+    sites = spark.createDataFrame([(1, "Na1", "Na", 0.0, 0.0, 0.0, None, 0.01)], "cod_id int, label string, type_symbol string, fract_x double, fract_y double, fract_z double, occupancy double, u_iso_or_equiv double")
+    r = calculate_patterns(st, sites, cr.CU_KA, hkl_max=3).first()
+    assert r is not None and r.has_intensities and r.n_reflections > 0
