@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from difframe.llm.notebooks import iter_cells, with_cells
@@ -216,12 +216,12 @@ def verbatim_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: i
     return same.groupBy("doc_id", "item_id", "field", "cell_no").agg(F.size(F.collect_set("at")).alias("n_windows"), F.min("at").alias("first_at"))
 
 
-def renamed_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Questions that come back with other numbers, names or units, one row per cell and aligned passage.
+def renamed_items(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Questions that come back with other numbers, names or units, one row per passage and item.
 
-    ``doc_id, cell_no, first_at, n_windows, item_id, n_items, n_changed``: a passage of a cell that follows an item's
+    ``doc_id, cell_no, first_at, n_windows, item_id, n_items, n_changed, best``: a passage of a cell that follows an item's
     text word by word but for slots, which are renamed one to one (the same name always to the same name).  Of the
-    ``n_items`` items it follows, ``item_id`` is the one followed longest, then with the fewest renamed slots, then the
+    ``n_items`` items it follows, ``best`` marks the one followed longest, then with the fewest renamed slots, then the
     smallest id.  Defined results otherwise as in ``verbatim_leaks``.
     """
     m = template_matches(docs, cells, items, width)
@@ -233,6 +233,12 @@ def renamed_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: in
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == n)
     changed = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
     fits = runs.where(one_to_one).withColumn("n_changed", changed).where("n_changed > 0")
-    best = F.min(F.struct((-F.col("n_windows")).alias("w"), "n_changed", "item_id")).alias("best")
-    out = fits.groupBy("doc_id", "cell_no", "first_at").agg(best, F.size(F.collect_set("item_id")).alias("n_items"))
-    return out.select("doc_id", "cell_no", "first_at", (-F.col("best.w")).alias("n_windows"), "best.item_id", "n_items", "best.n_changed")
+    each = fits.groupBy("doc_id", "cell_no", "first_at", "item_id").agg(F.min(F.struct((-F.col("n_windows")).alias("w"), "n_changed")).alias("r"))
+    passage = Window.partitionBy("doc_id", "cell_no", "first_at")
+    best = F.row_number().over(passage.orderBy("r", "item_id")) == 1
+    return each.select("doc_id", "cell_no", "first_at", (-F.col("r.w")).alias("n_windows"), "item_id", F.count(F.lit(1)).over(passage).cast("int").alias("n_items"), "r.n_changed", best.alias("best"))
+
+
+def renamed_leaks(docs: DataFrame, cells: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The best item of every passage of ``renamed_items``: one row per passage."""
+    return renamed_items(docs, cells, items, width).where("best").drop("best")

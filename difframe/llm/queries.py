@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from difframe.llm.langid import detect_languages
-from difframe.llm.leaks import renamed_leaks, verbatim_leaks
+from difframe.llm.leaks import renamed_items, verbatim_leaks
 from difframe.llm.names import link_spellings, spelling_pairs
 from difframe.llm.tokenize import encode_corpus
 from difframe.llm.topn import top_n_per_group
@@ -73,8 +73,8 @@ def p7_found(spark, sf_dir):
 
 @query("p7_renamed")
 def p7_renamed(spark, sf_dir):
-    """Passages that follow an evaluation item with other numbers, names or units."""
-    return renamed_leaks(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items"))
+    """Passages that follow evaluation items with other numbers, names or units, and all of these items."""
+    return renamed_items(*_notebooks(spark, sf_dir), table(spark, sf_dir, "eval_items"))
 
 
 @query("p8_found")

@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import Row
 
-from difframe.llm.leaks import renamed_leaks, verbatim_leaks
+from difframe.llm.leaks import renamed_items, renamed_leaks, verbatim_leaks
 from difframe.llm.queries import QUERIES
 from difframe.runtime import table
 
@@ -69,3 +69,8 @@ def test_split_over_two_cells_and_empty(spark):
     assert verbatim_leaks(docs, two, items).count() == 0
     for a, b, c in ((docs.limit(0), cells, items), (docs, cells.limit(0), items), (docs, cells, items.limit(0))):
         assert verbatim_leaks(a, b, c).count() == 0 and renamed_leaks(a, b, c).count() == 0
+
+
+def test_every_item_of_a_renamed_passage(spark):
+    rows = renamed_items(*_tables(spark, [RENAMED])).collect()
+    assert sorted((r.item_id, r.n_items, r.best) for r in rows) == [(1, 2, True), (2, 2, False)]
