@@ -143,7 +143,7 @@ def _arrow_windows(pieces_of, keys: list[str], schema, width: int, templates=Non
                 for i in at.tolist():
                     own = w[i : i + width]
                     out[-2].append(own)
-                    out[-1].append([x for x in own if placeholder(x) != x])
+                    out[-1].append([p + x for x in own if (p := placeholder(x)) != x])
                 if len(out[-1]) > 20_000:
                     yield flush()
                     out = [[] for _ in range(len(keys) + 4)]
@@ -189,7 +189,7 @@ def template_matches(docs: DataFrame, cells: DataFrame, items: DataFrame, width:
     Equal words are part of the join's key, so a template that many items share multiplies nothing.
 
     ``doc_id, cell_no, at, words, slots, item_id, field, item_at, item_words, item_slots``; slots are the words that
-    became placeholders.
+    became placeholders, behind their placeholder.
     """
     import numpy as np
 
@@ -220,19 +220,25 @@ def renamed_items(docs: DataFrame, cells: DataFrame, items: DataFrame, width: in
     """Questions that come back with other numbers, names or units, one row per passage and item.
 
     ``doc_id, cell_no, first_at, n_windows, item_id, n_items, n_changed, best``: a passage of a cell that follows an item's
-    text word by word but for slots, which are renamed one to one (the same name always to the same name).  Of the
+    text word by word but for slots, which are renamed consistently within every ``width`` words: the same word always
+    to the same word, and different names to different names.  A passage is a run of such windows.  Of the
     ``n_items`` items it follows, ``best`` marks the one followed longest, then with the fewest renamed slots, then the
     smallest id.  Defined results otherwise as in ``verbatim_leaks``.
     """
     m = template_matches(docs, cells, items, width)
-    # One aggregate with partial results: a passage's windows combine before the shuffle.
-    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    runs = m.select("doc_id", "cell_no", "item_id", "field", (F.col("at") - F.col("item_at")).alias("shift"), "at", pairs.alias("pairs"))
-    runs = runs.groupBy("doc_id", "cell_no", "item_id", "field", "shift").agg(F.min("at").alias("first_at"), F.size(F.collect_set("at")).alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    n = F.size("pairs")
-    one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == n) & (F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == n)
-    changed = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
-    fits = runs.where(one_to_one).withColumn("n_changed", changed).where("n_changed > 0")
+    pairs = F.array_distinct(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    part = lambda c, x: F.array_distinct(F.transform(c, lambda p: p[x]))
+    names = F.filter("pairs", lambda p: p["a"].startswith("<name>"))
+    m = m.select("doc_id", "cell_no", "item_id", "field", (F.col("at") - F.col("item_at")).alias("shift"), "at", pairs.alias("pairs"))
+    m = m.where((F.size(part("pairs", "a")) == F.size("pairs")) & (F.size(part(names, "b")) == F.size(names)))
+    # Only renamed slots travel.  One aggregate with partial results: a passage's windows combine before the shuffle.
+    m = m.withColumn("pairs", F.filter("pairs", lambda p: p["a"] != p["b"]))
+    line = ["doc_id", "cell_no", "item_id", "field", "shift"]
+    runs = m.groupBy(*line).agg(F.array_sort(F.collect_set("at")).alias("ats"), F.collect_set(F.struct("at", "pairs")).alias("w"))
+    # Consecutive windows keep their distance to their place in the order.  Grouped by more keys: no second shuffle.
+    runs = runs.select(*line, "ats", F.explode("w").alias("w")).withColumn("run", F.col("w.at") - F.array_position("ats", F.col("w.at")))
+    runs = runs.groupBy(*line, "run").agg(F.min("w.at").alias("first_at"), F.size(F.collect_set("w.at")).alias("n_windows"), F.size(F.array_distinct(F.flatten(F.collect_set("w.pairs")))).alias("n_changed"))
+    fits = runs.where("n_changed > 0")
     each = fits.groupBy("doc_id", "cell_no", "first_at", "item_id").agg(F.min(F.struct((-F.col("n_windows")).alias("w"), "n_changed")).alias("r"))
     passage = Window.partitionBy("doc_id", "cell_no", "first_at")
     best = F.row_number().over(passage.orderBy("r", "item_id")) == 1

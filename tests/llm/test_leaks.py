@@ -74,3 +74,17 @@ def test_split_over_two_cells_and_empty(spark):
 def test_every_item_of_a_renamed_passage(spark):
     rows = renamed_items(*_tables(spark, [RENAMED])).collect()
     assert sorted((r.item_id, r.n_items, r.best) for r in rows) == [(1, 2, True), (2, 2, False)]
+
+
+def test_windows_are_checked_one_by_one(spark):
+    """A clash ends a passage and does not discard it; two numbers may become the same one, two names may not."""
+    numbers = Q.replace("324", "six")
+    clash = Q.replace("fenmiraxide", "jormiloride")
+    docs, cells, items = _tables(spark, [TORN, numbers, clash])
+    rows = renamed_items(docs, cells, items).where("item_id = 1").collect()
+    got = {r.doc_id: (r.first_at, r.n_windows, r.n_changed) for r in rows}
+    n = len(Q.split()) - 11
+    far = Q.split().index("jormiloride")
+    assert got[0] == (0, sum(not (k <= far and k + 12 == len(Q.split())) for k in range(n)), 1)
+    assert got[1] == (0, n, 1)
+    assert 2 not in got or got[2][1] < n
