@@ -81,6 +81,64 @@ def test_links(spark):
     assert link_spellings(df.limit(0), {"authors": ";"}, ["journal"]).count() == 0
 
 
+def _entities(spark, authors, journals=()):
+    rows = [(a, None) for a in authors] + [(None, j) for j in journals]
+    linked = link_spellings(spark.createDataFrame(rows, "authors string, journal string"), {"authors": ";"}, ["journal"])
+    groups = {}
+    for r in linked.collect():
+        groups.setdefault((r.field, r.entity), set()).add(r.spelling)
+    return {frozenset(v) for v in groups.values()}
+
+
+def test_shared_initials_join_nobody(spark):
+    one = lambda *x: {frozenset({y}) for y in x}
+    names = ["Hoffman, John", "Hoffman, Jane", "Hoffman, Jacob", "Hoffman, J.", "Hoffman, J. K.", "Hoffman, J. L."]
+    assert _entities(spark, names) == one(*names)
+    got = _entities(spark, ["Okafor, John K.", "Okafor, Jane L.", "Okafor, J. K.", "J. L. Okafor", "Okafor, Jane", "Okafor, J.", "Okafor, Bob", "Okafor, R. T."])
+    assert got == {frozenset({"Okafor, John K.", "Okafor, J. K."}), frozenset({"Okafor, Jane L.", "J. L. Okafor", "Okafor, Jane"}), frozenset({"Okafor, Bob", "Okafor, R. T."})} | one("Okafor, J.")
+    assert _entities(spark, ["Tamm, Ted", "Tamm, T.", "Tamm, Edward", "Tamm, B.", "Bob Tamm"]) == {frozenset({"Tamm, Ted", "Tamm, Edward"}), frozenset({"Tamm, B.", "Bob Tamm"})} | one("Tamm, T.")
+
+
+def test_misspellings_do_not_chain(spark):
+    """Each is one letter from the next; only the usual one gathers its neighbours."""
+    usual = [f"Kolarumir, {x}" for x in ("Robert", "Mary", "Otto", "Ines")]
+    got = _entities(spark, [*usual, "Kolarumit, Robert", "Kolarumtt, Robert"])
+    assert frozenset({"Kolarumir, Robert", "Kolarumit, Robert"}) in got and frozenset({"Kolarumtt, Robert"}) in got
+
+
+def test_either_word_order(spark):
+    got = _entities(spark, ["Smithson, Robert", "Smithson Robert", "Robert Smithson", "Vale Ingrid"])
+    assert got == {frozenset({"Smithson, Robert", "Smithson Robert", "Robert Smithson"}), frozenset({"Vale Ingrid"})}
+
+
+def test_short_names(spark):
+    """One edit in surnames of two to four letters, by the same given names: recall and precision over planted ones."""
+    rnd = random.Random(8)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    sur = sorted({"".join(rnd.choices(syllables, k=2)).capitalize() for _ in range(40)} | {rnd.choice(syllables).capitalize() + rnd.choice("nrs") for _ in range(20)})
+    names = rnd.sample([a + b + c for a in syllables[:20] for b in syllables[20:40] for c in ("n", "rt", "la")], len(sur))
+    people = [(s, n.capitalize()) for s, n in zip(sur, names, strict=True)]
+    typo = []
+    for s, n in people:
+        i = rnd.randrange(1, len(s))
+        w = rnd.choice([s[:i] + s[i + 1 :], s[:i] + rnd.choice("aeioubdk") + s[i:], s[:i] + rnd.choice("xqwy") + s[i + 1 :], s[: i - 1] + s[i].upper() + s[i - 1].lower() + s[i + 1 :]])
+        typo.append(f"{w}, {n}")
+    groups = _entities(spark, [f"{s}, {n}; {n} {s}; {s}, {n[0]}." for s, n in people] + typo)
+    of = {x: g for g in groups for x in g}
+    found = sum(f"{s}, {n}" in of[t] for (s, n), t in zip(people, typo, strict=True))
+    owners = {x: i for i, (s, n) in enumerate(people) for x in (f"{s}, {n}", f"{n} {s}", typo[i])}
+    assert found >= 0.95 * len(people) and all(len({owners[x] for x in g if x in owners}) <= 1 for g in groups)
+
+
+def test_titles_in_any_order_and_ambiguous_abbreviations(spark):
+    t = build_trie(["canada cat crystal cubic", "annals animal art atom axis"])
+    assert abbreviated(t, ["canad", "c", "cr", "cu"]) == {"canada cat crystal cubic": 0}
+    assert abbreviated(t, ["ax", "at", "ar", "ani", "a"]) == {"annals animal art atom axis": 0}
+    assert abbreviated(t, ["a"] * 40) == {} and abbreviated(t, []) == {}
+    got = _entities(spark, [], ["Crystal Cat Canada Cubic", "Cr. C. Canad. Cu.", "Journal Physics", "Journal Physiology", "J. Phys.", "J. Physio.", "Acta", "Atca", *["Acta"] * 20])
+    assert got == {frozenset({"Crystal Cat Canada Cubic", "Cr. C. Canad. Cu."}), frozenset({"Journal Physiology", "J. Physio."}), frozenset({"Journal Physics"}), frozenset({"J. Phys."}), frozenset({"Acta", "Atca"})}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     links = spark.createDataFrame(chain, "a int, b int")
