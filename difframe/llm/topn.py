@@ -1,7 +1,8 @@
 """The N best rows of every group, by descending score bands.
 
 The leading order column is cut into bands at quantiles taken over all rows.  Bands are worked from the best one
-down; groups that are already full are anti-joined away, and within a band an exact tie ranking gives the open
+down: a band is a range of the raw column, so the scan skips row groups outside it; rows of groups that are already
+full are anti-joined away before anything is shuffled or ranked; within a band an exact tie ranking gives the open
 places.  Ranking inside a band keeps at most N distinct rows of a group per task *before* the shuffle (Spark's
 WindowGroupLimit), so a group with a third of all rows sends N rows per task and no more.
 """
@@ -15,18 +16,11 @@ from pyspark.sql import functions as F
 
 from difframe.runtime import staged
 
-#: Shares of the rows above the band boundaries: most groups fill in the first, small band.
-BAND_SHARES = (0.25, 0.6)
-
-
-def _ordinal(score: str, kind: str) -> Column:
-    if kind == "date":
-        return F.unix_date(F.col(score)).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(F.col(score)).cast("double")
-    if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(score).cast("timestamp")).cast("double")
-    return F.col(score).cast("double")
+#: Shares of the rows above the band boundaries: most groups fill in the first band.
+BAND_SHARES = (0.3,)
+#: Full groups, those of most rows first, whose rows are dropped before the shuffle; the sent table has their keys only.
+#: Rows of further full groups fall after it, when the open places are counted.
+SENT_GROUPS = 500_000
 
 
 def top_n_per_group(
@@ -49,28 +43,33 @@ def top_n_per_group(
     """
     used = list(dict.fromkeys([*group, score, *keep]))
     place, have = "__place", "__have"
-    s = _ordinal(score, df.schema[score].dataType.typeName())
+    s = F.col(score)
     cuts = df.select(F.percentile_approx(s, [1 - x for x in shares], F.lit(10_000)).alias("c")).first()["c"] or []
-    cuts = sorted({float(c) for c in cuts if c == c}, reverse=True)
-    order = Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last(), *ties)
+    cuts = sorted({c for c in cuts if c is not None and c == c}, reverse=True)
+    order = Window.partitionBy(*group).orderBy(s.desc_nulls_last(), *ties)
 
-    bands: list[Column] = []
-    for i, low in enumerate(cuts):
-        bands.append((s >= low) if i == 0 else (s >= low) & (s < cuts[i - 1]))
-    rest = (s < cuts[-1]) if cuts else s.isNotNull()
-    bands += [rest, F.col(score).isNull()]
+    at = [F.lit(c).cast(df.schema[score].dataType) for c in cuts]
+    bands = [(s >= low) if i == 0 else (s >= low) & (s < at[i - 1]) for i, low in enumerate(at)]
+    bands.append((s < at[-1]) | s.isNull() if at else F.lit(True))
 
+    alias = [F.col(g).alias(f"__{g}") for g in group]
+    on = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group])
     kept: list[DataFrame] = []
     for i, band in enumerate(bands):
-        top = df.where(band).withColumn(place, F.dense_rank().over(order)).where(F.col(place) <= n).select(*used, place).distinct()
+        rows = df.where(band)
+        if kept:
+            so_far = reduce(DataFrame.unionByName, kept).groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias(have)).select(*alias, have)
+            rows = rows.join(F.broadcast(_largest(df, group, so_far.where(F.col(have) >= n).drop(have), on)), on, "left_anti")
+        top = rows.withColumn(place, F.dense_rank().over(order)).where(F.col(place) <= n).select(*used, place).distinct()
         if kept:
-            # Groups with places left know how many they have; full ones fall to the anti-join.
-            so_far = reduce(DataFrame.unionByName, kept).groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias(have))
-            full = so_far.where(F.col(have) >= n)
-            same = lambda a, b: reduce(lambda x, y: x & y, [a[g].eqNullSafe(b[g]) for g in group])
-            top = top.join(full, same(top, full), "left_anti")
-            part = so_far.where(F.col(have) < n).select(*[F.col(g).alias(f"__{g}") for g in group], have)
-            on = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group])
-            top = top.join(part, on, "left").where(F.col(place) + F.coalesce(F.col(have), F.lit(0)) <= n).select(*used, place)
+            top = top.join(so_far, on, "left").where(F.col(place) + F.coalesce(F.col(have), F.lit(0)) <= n)
         kept.append(staged(top.select(*used), f"band{i}"))
     return reduce(DataFrame.unionByName, kept).select(*keep)
+
+
+def _largest(df: DataFrame, group: list[str], full: DataFrame, on: Column) -> DataFrame:
+    """The full groups whose keys are sent: all, or the ``SENT_GROUPS`` of most rows."""
+    if full.limit(SENT_GROUPS + 1).count() <= SENT_GROUPS:
+        return full
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.join(full, on, "left_semi").orderBy(F.desc("__n")).limit(SENT_GROUPS).select(*[F.col(g).alias(f"__{g}") for g in group])

@@ -46,5 +46,31 @@ def test_score_types_and_clashing_columns(spark, kind):
     assert _top(df.withColumn("s", s)) == [(1, 6), (1, 7), (1, 8)]
 
 
+def test_full_groups_fall_before_the_shuffle(spark, sf, monkeypatch):
+    """The second band filters the raw column in the scan, and the anti-join is below the exchange."""
+    from difframe.llm import topn
+    from difframe.llm.queries import QUERIES
+
+    plans = []
+    real = topn.staged
+    monkeypatch.setattr(topn, "staged", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    QUERIES["p2_found"](spark, sf)
+    lines = plans[1].splitlines()
+    depth = lambda word: next(x.index(word) for x in lines if word in x)
+    anti = next(i for i, x in enumerate(lines) if "LeftAnti" in x)
+    assert any("Exchange hashpartitioning(cod_id" in x for x in lines[:anti]) and not any("Exchange hashpartitioning(cod_id" in x for x in lines[anti : anti + 4])
+    assert "LessThan(calculated_at" in plans[1] and depth("Exchange") < depth("LeftAnti")
+
+
+def test_more_full_groups_than_are_sent(spark, monkeypatch):
+    from difframe.llm import topn
+
+    monkeypatch.setattr(topn, "SENT_GROUPS", 2)
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(9)]), i, rnd.randint(0, 20), 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g int, id int, s int, m int").repartition(3)
+    assert _top(df) == _brute(rows)
+
+
 def test_empty(spark):
     assert _top(spark.createDataFrame([], "g int, id int, s int, m int")) == []
