@@ -14,13 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from difframe.runtime import staged
+from difframe.runtime import is_small, staged
 
 #: Shares of the rows above the band boundaries: most groups fill in the first band.
 BAND_SHARES = (0.3,)
-#: Full groups, those of most rows first, whose rows are dropped before the shuffle; the sent table has their keys only.
-#: Rows of further full groups fall after it, when the open places are counted.
-SENT_GROUPS = 500_000
+#: Full groups, those of most rows first, whose rows are dropped before the shuffle; the sent table has their keys only
+#: (if these are wide, fewer of them).  Rows of further full groups fall after it, when the open places are counted.
+SENT_GROUPS, SENT_WIDE_GROUPS = 500_000, 10_000
 
 
 def top_n_per_group(
@@ -68,8 +68,10 @@ def top_n_per_group(
 
 
 def _largest(df: DataFrame, group: list[str], full: DataFrame, on: Column) -> DataFrame:
-    """The full groups whose keys are sent: all, or the ``SENT_GROUPS`` of most rows."""
-    if full.limit(SENT_GROUPS + 1).count() <= SENT_GROUPS:
+    """The full groups whose keys are sent: all, or the ``SENT_GROUPS`` of most rows, or ``SENT_WIDE_GROUPS``, or none."""
+    if is_small(full, SENT_GROUPS):
         return full
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.join(full, on, "left_semi").orderBy(F.desc("__n")).limit(SENT_GROUPS).select(*[F.col(g).alias(f"__{g}") for g in group])
+    keys = staged(sizes.join(full, on, "left_semi").orderBy(F.desc("__n"), *group).limit(SENT_GROUPS).select("__n", *[F.col(g).alias(f"__{g}") for g in group]), "full-groups")
+    most = (keys, keys.orderBy(F.desc("__n")).limit(SENT_WIDE_GROUPS))
+    return next((k for k in most if is_small(k, SENT_GROUPS)), keys.limit(0)).drop("__n")
