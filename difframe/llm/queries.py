@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from difframe.llm.langid import detect_languages
 from difframe.llm.leaks import renamed_items, verbatim_leaks
 from difframe.llm.names import link_spellings, spelling_pairs
-from difframe.llm.tokenize import encode_corpus
+from difframe.llm.tokenize import decode_corpus, encode_corpus
 from difframe.llm.topn import top_n_per_group
 from difframe.runtime import table
 
@@ -51,6 +51,12 @@ def p6_ids(spark, sf_dir):
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
+@query("p6_decoded", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def p6_decoded(spark, sf_dir):
+    """Every document encoded and decoded again from raw bytes."""
+    return decode_corpus(p6_ids(spark, sf_dir)).select("doc_id", F.col("bytes").cast("string").alias("text"))
+
+
 def _notebooks(spark, sf_dir):
     return table(spark, sf_dir, "documents"), table(spark, sf_dir, "notebook_cells")
 

@@ -3,17 +3,22 @@
 The vocabulary is a local rank file (base64 token, rank per line).  Every Python worker builds the encoder once;
 rows stream through as Arrow batches, so no shuffle happens and the plan is one scan, one map.
 
-Long texts are cut at *safe boundaries* before they are encoded.  The split pattern of the vocabulary never lets a
-piece run from a letter or digit into the blank or line feed behind it, so cutting there leaves every piece as it
-was and the ids of the parts, joined, are the ids of the whole.
+Long texts are cut at *safe boundaries* before they are encoded, so that the ids of the parts, joined, are the ids of
+the whole.  Two kinds of place are safe:
+
+* between characters that the split pattern never takes into one piece: behind a letter that no letter follows, behind a
+  number that no number follows, between a mark (but no apostrophe) and a letter, number, blank or line feed;
+* inside a run of letters, where writing knows no blanks: between two characters whose touching bytes stand side by side
+  in no token of the vocabulary, so that no merge can cross.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import re
+import unicodedata
 
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -27,7 +32,9 @@ BATCH_IDS = 1_000_000
 # The split patterns that belong to the vocabularies.
 BYTE_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])")
+_SAFE = regex.compile(r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N} \n])")
+#: Characters searched at once for a safe boundary.
+_REACH = 2_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -40,18 +47,46 @@ def encoder(ranks_file: str, pattern: str = BYTE_BPE_PATTERN):
     return tiktoken.Encoding(ranks_file, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def parts(text: str, size: int = PART_CHARS):
-    """Yields ``text`` in parts of about ``size`` characters, cut at safe boundaries only.
-
-    A stretch without such a boundary stays whole however long it is.
-    """
+@functools.lru_cache(maxsize=4)
+def _touching(ranks_file: str) -> frozenset[int]:
+    """The pairs of bytes (first * 256 + second) that stand side by side in some token."""
+    with open(ranks_file, "rb") as f:
+        tokens = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
+    return frozenset(a << 8 | b for t in tokens for a, b in zip(t, t[1:], strict=False))
+
+
+def _settled(text: str, at: int) -> bool:
+    """Whether the characters around a place have been in Unicode for long: all libraries class them alike."""
+    old = unicodedata.ucd_3_2_0.category
+    return all(old(c) != "Cn" and old(c)[0] == unicodedata.category(c)[0] for c in text[at - 1 : at + 1])
+
+
+def _safe_place(text: str, start: int, touching: frozenset[int] | None) -> int | None:
+    """The first safe place behind ``start``; the whole rest is searched, a stretch at a time."""
+    while start < len(text):
+        end = min(len(text) - 1, start + _REACH)
+        for m in _SAFE.finditer(text, start, end):
+            if start < m.start() < end and _settled(text, m.start()):
+                return m.start()
+        for i in range(start + 1, end) if touching is not None else ():
+            a, b = text[i - 1], text[i]
+            if a.isalpha() and b.isalpha() and a.encode()[-1] << 8 | b.encode()[0] not in touching and unicodedata.category(a)[0] == unicodedata.category(b)[0] == "L" and _settled(text, i):
+                return i
+        start += max(_REACH - 2, 1)
+    return None
+
+
+def parts(text: str, size: int = PART_CHARS, ranks_file: str | None = None):
+    """Yields ``text`` in parts of about ``size`` characters, cut at safe boundaries only; with ``ranks_file`` also inside
+    runs of letters.  A stretch without a safe boundary stays whole however long it is."""
     start = 0
+    touching = _touching(ranks_file) if ranks_file else None
     while len(text) - start > size:
-        m = _SAFE.search(text, start + size)
-        if not m:
+        cut = _safe_place(text, start + size - 1, touching)
+        if cut is None:
             break
-        yield text[start : m.start()]
-        start = m.start()
+        yield text[start:cut]
+        start = cut
     yield text[start:]
 
 
@@ -61,7 +96,8 @@ def encode_text(text: str | None, enc, size: int = PART_CHARS) -> list[int]:
         return []
     if len(text) <= size:
         return enc.encode_ordinary(text)
-    return [i for part in parts(text, size) for i in enc.encode_ordinary(part)]
+    # The encoder is named after its rank file.
+    return [i for part in parts(text, size, enc.name) for i in enc.encode_ordinary(part)]
 
 
 def decode_bytes(ids, enc) -> bytes:
@@ -104,3 +140,21 @@ def encode_corpus(
                     ids, ends, first = array("i"), [0], row + 1
 
     return docs.select(id_col, text_col).mapInArrow(encode, schema)
+
+
+def decode_corpus(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_file: str = f"{VOCABULARY_DIR}/byte_bpe_50k.tiktoken", pattern: str = BYTE_BPE_PATTERN, bytes_col: str = "bytes") -> DataFrame:
+    """``id_col`` and the raw bytes of ``ids_col``: exact also where ids end inside a character.
+
+    Defined results: an empty or null list gives no bytes (not null); an id outside the vocabulary is an error of the
+    row's task; repeated rows stay repeated; an empty table gives an empty table.
+    """
+    schema = T.StructType([encoded.schema[id_col], T.StructField(bytes_col, T.BinaryType())])
+
+    def decode(batches):
+        import pyarrow as pa
+
+        enc = encoder(ranks_file, pattern)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode_bytes(x or (), enc) for x in batch.column(1).to_pylist()], pa.binary())], names=[id_col, bytes_col])
+
+    return encoded.select(id_col, ids_col).mapInArrow(decode, schema)
