@@ -1,9 +1,10 @@
 import json
+import random
 import re
 
 from pyspark.sql import Row
 
-from difframe.llm.leaks import renamed_items, renamed_leaks, verbatim_leaks
+from difframe.llm.leaks import placeholder, renamed_items, renamed_leaks, verbatim_leaks
 from difframe.llm.queries import QUERIES
 from difframe.runtime import table
 
@@ -88,3 +89,55 @@ def test_windows_are_checked_one_by_one(spark):
     assert got[0] == (0, sum(not (k <= far and k + 12 == len(Q.split())) for k in range(n)), 1)
     assert got[1] == (0, n, 1)
     assert 2 not in got or got[2][1] < n
+
+
+def _reparameterised(text, rnd, capitals):
+    """A copy with other numbers, units and names, each consistently; numbers and names also change their length."""
+    seen = {}
+
+    def other(m):
+        w = m[0]
+        kind = placeholder(w.lower())
+        if kind == w.lower():
+            return w
+        if w not in seen:
+            if kind == "<number>":
+                seen[w] = rnd.choice([f"{rnd.randint(2, 999)}", f"{rnd.randint(2, 99)}.{rnd.randint(1, 9)}", "forty three", "nine"])
+            elif kind == "<unit>":
+                seen[w] = rnd.choice(["hours", "kelvin", "milligrams", "bars"])
+            else:
+                stem = "".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiou") for _ in range(4))
+                seen[w] = f"{stem.capitalize()} {stem[::-1].capitalize()}" if capitals and rnd.random() < 0.5 else stem + rnd.choice(["ite", "ide", "ate"])
+        return seen[w]
+
+    return W.sub(other, text)
+
+
+def test_planted_renamed_questions(spark):
+    """Recall over the items of the test data, re-parameterised and set among other text."""
+    items = table(spark, "/root/testdata/sf0.01", "eval_items")
+    rnd = random.Random(7)
+    texts, want = [], {}
+    for i, q in sorted((r.item_id, t) for r in items.collect() for t in (r.question, r.answer) if t):
+        if sum(placeholder(w) == w for w in W.findall(q.lower())) < 14:
+            continue
+        for capitals in (False, True):
+            copy = _reparameterised(q, rnd, capitals)
+            want[len(texts)] = (i, copy)
+            texts.append("Some notes come first,\n# " + copy.replace(" the ", "  *the* ") + "\nand others follow.")
+    docs, cells, _ = _tables(spark, texts)
+    rows = renamed_items(docs, cells, items).select("doc_id", "item_id").distinct().collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    found = sum((d, i) in got for d, (i, _) in want.items())
+    assert len(want) > 200 and found >= 0.95 * len(want), (found, len(want))
+
+
+def test_filter_is_exact_however_full(spark, monkeypatch):
+    """A filter with far too few places lets more through; the result is the same."""
+    from difframe.llm import leaks
+
+    docs, cells, items = _tables(spark, [Q, RENAMED, "other words " * 50])
+    want = sorted(verbatim_leaks(docs, cells, items).collect()), sorted(renamed_items(docs, cells, items).collect())
+    real = leaks.template_filter
+    monkeypatch.setattr(leaks, "template_filter", lambda w: real(w, 7))
+    assert (sorted(verbatim_leaks(docs, cells, items).collect()), sorted(renamed_items(docs, cells, items).collect())) == want
