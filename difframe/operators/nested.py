@@ -7,83 +7,144 @@ no look-up, and the nodes of one schema path are one flat table.  Fields met onc
 itself (``attrs``, by dotted name).
 
 Parsing a text is the one step done in Python (Arrow batches, no shuffle); labels, parents, tables and typed columns
-are Spark expressions over the node rows.
+are Spark expressions over the node rows.  A text that can't be read is a row with its reason, never an error.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from difframe.runtime import BROADCAST_ROWS
-
 _NODE = [
     T.StructField("schema_path", T.StringType()),
     T.StructField("label", T.ArrayType(T.IntegerType())),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
 ]
-_BATCH_NODES = 20_000
+#: Nodes, and ordinals in their labels, that an output batch holds.
+_BATCH_NODES, _BATCH_ORDINALS = 20_000, 500_000
+#: The schema path of a text that gives no nodes; its reason is the attribute ``reason``.
+REFUSED = "!"
+
+
+class _Digits(str):
+    """A whole number of too many digits for an integer, as its text."""
 
 
 def _not_json(text):
     raise ValueError(text)
 
 
-def read_json(text: str | None):
-    """The value of a JSON text, or None if it isn't JSON as a whole; JSON inside a JSON string counts as its content."""
+def _loads(text: str):
+    try:
+        return json.loads(text, parse_constant=_not_json)
+    except json.JSONDecodeError:
+        raise
+    except ValueError as e:
+        if "digits" not in str(e):
+            raise
+        return json.loads(text, parse_constant=_not_json, parse_int=lambda x: int(x) if len(x) < 4000 else _Digits(x))
+
+
+def read_with_reason(text: str | None):
+    """(value, reason): the value of a JSON text, JSON inside a JSON string counting as its content; or why there is
+    none: ``null``, ``not_json`` or ``too_deep`` (beyond the parser's stack, thousands of levels)."""
+    if text is None:
+        return None, "null"
     value = text
     try:
-        while isinstance(value, str):
-            value = json.loads(value, parse_constant=_not_json)
-    except (ValueError, RecursionError):
-        return None
-    return value
-
-
-def _walk(value, path: str, label: list[int], repeated: frozenset[str]):
-    """Yields (schema path, label, attrs) of the node ``value`` and of all nodes below it."""
-    attrs: dict[str, str] = {}
-    below = []
-
-    def fields(v, prefix: str) -> None:
-        if isinstance(v, str) and prefix.rpartition(".")[2] in repeated:
-            inner = read_json(v)
-            v = v if inner is None else inner
-        many = prefix.rpartition(".")[2] in repeated or any(isinstance(x, (dict, list)) for x in v) if isinstance(v, list) else False
-        if many:
-            below.append((prefix, v))
-        elif isinstance(v, dict) and prefix and prefix.rpartition(".")[2] in repeated:
-            below.append((prefix, [v]))
-        elif isinstance(v, dict):
-            for k, x in v.items():
-                fields(x, f"{prefix}.{k}" if prefix else k)
-        elif v is not None:
-            attrs[prefix] = v if isinstance(v, str) else json.dumps(v)
-
-    if isinstance(value, list) and not label and path == "$":
-        below.append(("", value))
-    else:
-        fields(value, "")
-    yield path, label, attrs
-    for name, entries in below:
-        at = (f"{path}.{name}" if name else path) + "[]"
-        for i, entry in enumerate(entries):
-            if entry is not None:
-                yield from _walk(entry, at, [*label, i], repeated)
-
-
-def dewey_nodes(df: DataFrame, keys: list[str], text_col: str, repeated: set[str]) -> DataFrame:
+        while isinstance(value, str) and not isinstance(value, _Digits):
+            value = _loads(value)
+    except RecursionError:
+        return None, "too_deep"
+    except ValueError:
+        return None, "not_json"
+    return value, "null" if value is None else None
+
+
+def read_json(text: str | None):
+    """The value of a JSON text, or None if it can't be read as a whole."""
+    return read_with_reason(text)[0]
+
+
+_SPECIAL = re.compile(r"[\\.\[\]]")
+
+
+def _name(key: str) -> str:
+    """A key as part of a path: dots, brackets and backslashes escaped; the empty key is a backslash."""
+    return _SPECIAL.sub(lambda m: "\\" + m[0], key) if _SPECIAL.search(key) else key or "\\"
+
+
+def _text(value) -> str:
+    if isinstance(value, str):
+        return str(value)
+    if value is True or value is False:
+        return "true" if value else "false"
+    if isinstance(value, list):
+        return f"[{', '.join('null' if x is None else json.dumps(x) if isinstance(x, str) and not isinstance(x, _Digits) else _text(x) for x in value)}]"
+    return "{}" if isinstance(value, dict) else repr(value)
+
+
+def _walk(root, repeated: frozenset[str]):
+    """Yields (schema path, label, attrs) of the root's node and of all nodes below it, without recursion."""
+    nodes = [(root, "$", ())]
+    while nodes:
+        value, path, label = nodes.pop()
+        attrs: dict[str, str] = {}
+        if type(value) is list and not label and path == "$":
+            arrays, fields = [("", value)], []
+        else:
+            arrays, fields = [], [("", "", value)]
+        while fields:
+            name, prefix, v = fields.pop()
+            many = name in repeated
+            if many and isinstance(v, str) and not isinstance(v, _Digits):
+                inner = read_json(v)
+                v = v if inner is None else inner
+            if type(v) is dict:
+                if many and prefix:
+                    arrays.append((prefix, [v]))
+                else:
+                    fields += [(k, f"{prefix}.{_name(k)}" if prefix else _name(k), x) for k, x in v.items()]
+            elif type(v) is list and (many or any(type(x) in (dict, list) for x in v)):
+                arrays.append((prefix, v))
+            elif v is not None:
+                attrs[prefix] = _text(v)
+        yield path, label, attrs
+        for prefix, entries in arrays:
+            at = (f"{path}.{prefix}" if prefix else path) + "[]"
+            nodes += [(entry, at, (*label, i)) for i, entry in enumerate(entries) if entry is not None]
+
+
+def _clean(texts: list[str]) -> list[str]:
+    """Texts in which unpaired surrogates are replaced (a JSON escape may name them, UTF-8 can't hold them)."""
+    return [x.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace") for x in texts]
+
+
+def _strings(texts: list[str]):
+    import pyarrow as pa
+
+    try:
+        return pa.array(texts, pa.string())
+    except UnicodeEncodeError:
+        return pa.array(_clean(texts), pa.string())
+
+
+def dewey_nodes(df: DataFrame, keys: list[str], text_col: str, repeated: set[str], refused: bool = False) -> DataFrame:
     """All nodes of the JSON texts in ``text_col``: ``keys``, ``schema_path``, ``label``, ``attrs``.
 
     ``repeated`` names the fields that are arrays by meaning, so that an object (or JSON inside a string) in such a
-    place counts as its entry 0.  Arrays of plain values elsewhere stay attributes, as JSON text.
+    place counts as its entry 0.  Arrays of plain values elsewhere stay attributes, as JSON text.  With ``refused``, a
+    text that isn't null and can't be read gives one row of the schema path ``REFUSED`` and its reason.
 
     Defined results: null entries keep their ordinal but give no node; null texts and texts that aren't JSON as a
-    whole (also NaN, trailing text, nesting beyond the parser's depth) give no nodes; a scalar root gives the root
-    node alone; repeated rows give repeated nodes; columns other than ``keys`` and ``text_col`` are never read; a key
+    whole (also NaN, trailing text, nesting of many thousand levels) give no nodes; a scalar root gives the root node
+    alone; whole numbers of any length are kept digit by digit; unpaired surrogates become U+FFFD; dots, brackets and
+    backslashes in field names are escaped by a backslash, so no two fields share a name; of a field given twice the
+    last counts; repeated rows give repeated nodes; columns other than ``keys`` and ``text_col`` are never read; a key
     named like a node column keeps its name and the node column gets ``_node`` behind it.
     """
     names = frozenset(repeated)
@@ -92,31 +153,41 @@ def dewey_nodes(df: DataFrame, keys: list[str], text_col: str, repeated: set[str
     schema = T.StructType([*(T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)), *_NODE])
 
     def parse(batches):
+        import numpy as np
         import pyarrow as pa
 
-        kinds = [pa.string(), pa.list_(pa.int32()), pa.map_(pa.string(), pa.string())]
         for batch in batches:
-            rows, paths, labels, attrs = [], [], [], []
+            rows, paths, ordinals, label_ends, fields, values, attr_ends = [], [], [], [0], [], [], [0]
 
             def flush(batch=batch):
                 at = pa.array(rows, pa.int32())
+                ends = lambda x: pa.array(np.array(x, "int32"))
                 cols = [batch.column(i).take(at) for i in range(len(keys))]
-                cols += [pa.array(paths, kinds[0]), pa.array(labels, kinds[1]), pa.array([list(a.items()) for a in attrs], kinds[2])]
+                cols += [_strings(paths), pa.ListArray.from_arrays(ends(label_ends), pa.array(np.array(ordinals, "int32"))), pa.MapArray.from_arrays(ends(attr_ends), _strings(fields), _strings(values))]
                 out = pa.RecordBatch.from_arrays(cols, names=schema.names)
-                for x in (rows, paths, labels, attrs):
+                for x in (rows, paths, ordinals, fields, values):
                     x.clear()
+                del label_ends[1:], attr_ends[1:]
                 return out
 
+            def add(row, path, label, own):
+                rows.append(row)
+                paths.append(path)
+                ordinals.extend(label)
+                label_ends.append(len(ordinals))
+                fields.extend(own)
+                values.extend(own.values())
+                attr_ends.append(len(fields))
+
             for row, t in enumerate(batch.column(len(keys))):
-                value = read_json(t.as_py())
-                if value is None:
+                value, reason = read_with_reason(t.as_py())
+                if reason:
+                    if refused and reason != "null":
+                        add(row, REFUSED, (), {"reason": reason})
                     continue
-                for path, label, own in _walk(value, "$", [], names):
-                    rows.append(row)
-                    paths.append(path)
-                    labels.append(label)
-                    attrs.append(own)
-                    if len(rows) >= _BATCH_NODES:
+                for node in _walk(value, names):
+                    add(row, *node)
+                    if len(rows) >= _BATCH_NODES or len(ordinals) >= _BATCH_ORDINALS:
                         yield flush()
             if rows:
                 yield flush()
@@ -137,21 +208,10 @@ def node_table(nodes: DataFrame, schema_path: str) -> DataFrame:
     return nodes.where(F.col("schema_path").rlike(f"^(?:{schema_path})$")).withColumn("parent", parent_label())
 
 
-def distinct_rows(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """``df.select(cols)`` without repeated rows, shuffling wide columns only for keys that occur more than once.
-
-    A first narrow pass counts the keys.  Keys seen once need no comparison.  If the repeated keys are too many to
-    broadcast, all rows are compared.  Rows with a null key are always compared.
-    """
-    again = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key)
-    own = df.select(*cols)
-    found = again.limit(BROADCAST_ROWS + 1).persist()
-    if found.count() > BROADCAST_ROWS:
-        found.unpersist()
-        return own.dropDuplicates()
-    once = own.where(F.col(key).isNotNull()).join(F.broadcast(found), key, "left_anti")
-    several = own.join(F.broadcast(found), key, "left_semi").unionByName(own.where(F.col(key).isNull())).dropDuplicates()
-    return once.unionByName(several)
+def distinct_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``df.select(cols)`` without repeated rows.  Each column is read once; equal rows meet by the hash of the whole row
+    and combine before the shuffle, so neither a hot key nor a row repeated many times makes a large task."""
+    return df.select(*cols).distinct()
 
 
 # ---- reflections of theoretical patterns ----------------------------------------------------------------------------
@@ -177,14 +237,22 @@ def miller_indices(attrs: Column) -> Column:
     return F.when(own[0].isNotNull() & own[1].isNotNull() & own[2].isNotNull(), own).otherwise(listed)
 
 
+def _pattern_nodes(patterns: DataFrame, refused: bool = False) -> DataFrame:
+    return dewey_nodes(distinct_rows(patterns, ["id", "cod_id", "reflections"]), ["id", "cod_id"], "reflections", REFLECTION_LEVELS, refused)
+
+
+def refused_patterns(patterns: DataFrame) -> DataFrame:
+    """``id, cod_id, reason`` of the pattern rows whose text can't be read (null texts are no texts)."""
+    return _pattern_nodes(patterns, True).where(F.col("schema_path") == REFUSED).select("id", "cod_id", F.col("attrs")["reason"].alias("reason"))
+
+
 def reflection_nodes(patterns: DataFrame) -> DataFrame:
     """One node per line, family and equivalent of each distinct pattern row, with places and indices.
 
     Columns ``id, cod_id, level ('line', 'family', 'member'), label, parent, line_no, family_no, member_no, h, k, l,
     attrs``; a place that does not apply is -1.
     """
-    rows = distinct_rows(patterns, "id", ["id", "cod_id", "reflections"])
-    nodes = dewey_nodes(rows, ["id", "cod_id"], "reflections", REFLECTION_LEVELS)
+    nodes = _pattern_nodes(patterns)
     path = F.col("schema_path")
     level = F.when(path.rlike(f"^(?:{LINE_PATHS})$"), "line").when(path.rlike(f"^(?:{FAMILY_PATHS})$"), "family").when(path.rlike(f"^(?:{MEMBER_PATHS})$"), "member")
     place = lambda i: F.coalesce(F.try_element_at("label", F.lit(i)), F.lit(-1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from difframe.operators.nested import reflection_nodes, reflection_tables
+from difframe.operators.nested import reflection_nodes, reflection_tables, refused_patterns
 from difframe.operators.snapshots import snapshot_changes
 from difframe.plans.catalogue import query
 from difframe.runtime import table
@@ -35,6 +35,17 @@ def p1_found(spark, sf_dir):
     return reflection_nodes(table(spark, sf_dir, "reference_patterns_pymatgen")).select("id", "line_no", "family_no", "member_no", "h", "k", "l")
 
 
+@query(
+    "p1_refused",
+    """WITH RECURSIVE t AS (SELECT DISTINCT id, cod_id, reflections AS j FROM reference_patterns_pymatgen WHERE reflections IS NOT NULL
+         UNION ALL SELECT id, cod_id, CAST(j AS JSON) ->> '$' FROM t WHERE json_valid(j) AND json_type(j) = 'VARCHAR')
+       SELECT id, cod_id, 'not_json' AS reason FROM t WHERE NOT json_valid(j)""",
+)
+def p1_refused(spark, sf_dir):
+    """Pattern rows whose text can't be read, with the reason."""
+    return refused_patterns(table(spark, sf_dir, "reference_patterns_pymatgen"))
+
+
 _NUMBERS_OF_LINES = ", ".join(f"TRY_CAST(e ->> '$.{path}' AS DOUBLE) AS {name}" for name, path in (("d_hkl", "d_hkl"), ("two_theta", "two_theta"), ("intensity_rel", "intensity_rel"), ("fwhm", "profile.fwhm"), ("eta", "profile.shape.eta")))
 
 

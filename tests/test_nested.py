@@ -3,7 +3,7 @@ import json
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from difframe.operators.nested import dewey_nodes, distinct_rows, node_table, read_json, reflection_nodes, reflection_tables
+from difframe.operators.nested import dewey_nodes, distinct_rows, node_table, read_json, reflection_nodes, reflection_tables, refused_patterns
 from difframe.plans.catalogue import QUERIES
 from difframe.runtime import table
 import difframe.plans.problems  # noqa: F401
@@ -98,5 +98,30 @@ def test_tables_keep_their_way_back(spark, sf):
 
 def test_distinct_rows(spark):
     df = spark.createDataFrame([(1, "a", 0), (1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "d", 4), (None, "d", 5)], "id int, t string, extra int")
-    assert sorted(map(tuple, distinct_rows(df, "id", ["id", "t"]).collect()), key=str) == sorted([(1, "a"), (1, "b"), (2, "c"), (None, "d")], key=str)
-    assert distinct_rows(df.limit(0), "id", ["id", "t"]).count() == 0
+    assert sorted(map(tuple, distinct_rows(df, ["id", "t"]).collect()), key=str) == sorted([(1, "a"), (1, "b"), (2, "c"), (None, "d")], key=str)
+    assert distinct_rows(df.limit(0), ["id", "t"]).count() == 0
+
+
+def test_poison_rows_harm_no_others(spark):
+    """Deep nesting, unpaired surrogates, huge numbers and clashing names, in one table with good rows."""
+    line = {"h": 1, "k": 0, "l": 2}
+    deep = "[" * 1500 + "]" * 1500
+    texts = [
+        json.dumps([line]),
+        f'[{{"h": 1, "k": 0, "l": 2, "deep": {deep}}}]',
+        '[{"h": 1, "k": 0, "l": 2, "note": "\\ud800 \\ud83d\\ude00", "\\udc00": 1}]',
+        f'[{{"h": 1, "k": 0, "l": 2, "n": {"7" * 5000}, "list": [1, {"8" * 5000}, "x", null, true]}}]',
+        '[{"h": 1, "k": 0, "l": 2, "a": {"b": 1}, "a.b": 2, "a[]": 3, "": 4, "\\\\": 5}]',
+        "[" * 200_000,
+        "[1",
+        None,
+        json.dumps([line]),
+    ]
+    df = spark.createDataFrame([(i, 9, t) for i, t in enumerate(texts)], "id long, cod_id int, reflections string").coalesce(1)
+    rows = {r.id: r for r in reflection_nodes(df).where("level = 'line'").collect()}
+    assert {i: (r.line_no, r.h, r.k, r.l) for i, r in rows.items()} == {i: (0, 1, 0, 2) for i in (0, 1, 2, 3, 4, 8)}
+    assert rows[2].attrs["note"] == "\ufffd \U0001f600" and rows[2].attrs["\ufffd"] == "1"
+    assert rows[3].attrs["n"] == "7" * 5000 and rows[3].attrs["list"] == f'[1, {"8" * 5000}, "x", null, true]'
+    assert {k: v for k, v in rows[4].attrs.items() if k not in "hkl"} == {"a.b": "1", "a\\.b": "2", "a\\[\\]": "3", "\\\\": "5", "\\": "4"}
+    assert sorted((r.id, r.reason) for r in refused_patterns(df).collect()) == [(5, "too_deep"), (6, "not_json")]
+    assert dewey_nodes(df.where("id = 1"), ["id"], "reflections", set()).count() == 1501
