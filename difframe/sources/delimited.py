@@ -1,8 +1,10 @@
 """Delimited lines into typed rows, with a reason for every line that cannot be loaded.
 
-Blocks of lines go through a columnar bulk parser (Arrow's CSV reader and vectorised checks).  A block that fails
-anywhere is cut in two and tried again, so the bad lines are isolated in a logarithmic number of steps; a single
-failing line is then read strictly, by the letter of the format, which yields either its row or its first reason.
+Blocks of lines go through a columnar bulk parser (Arrow's CSV reader and vectorised checks).  A block with broken
+quoting, or one the reader fails on, is cut in two again and again, so the bad lines are isolated in a logarithmic number
+of steps and all others are still parsed in bulk.  Lines of a wrong shape are reported by the reader, lines of invalid
+values by a mask over the parsed columns.  What is set aside is read strictly, by the letter of the format, which yields
+either its row or its first reason.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most lines tried at once by the bulk parser.  A block that passes doubles the next one, a failing one halves it.
+#: Most lines of a bulk block.
 BLOCK_LINES = 4096
-#: A failing block of at most this many lines is read strictly, line by line.
+#: A block of at most this many lines with broken quoting is looked at line by line.
 STRICT_LINES = 8
 
 BLANKS = " \t\r\n\x0b\x0c"
@@ -94,60 +96,111 @@ def read_strictly(line: str | None, fields: tuple[Field, ...]) -> tuple[list, st
     return [v for v, _ in read], next((f.name for f, (_, ok) in zip(fields, read, strict=True) if f.required and not ok), None)
 
 
+def _ill_quoted(lines, at) -> list[int]:
+    """The places, of ``at``, of lines with broken quoting, by bisection: a part is cut while any of its lines fails."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    found, todo = [], [at]
+    while todo:
+        part = todo.pop()
+        if len(part) <= STRICT_LINES:
+            found += [i for i in part if not _STRICT_LINE.fullmatch(lines[i].as_py())]
+        elif not pc.all(pc.match_substring_regex(lines.take(pa.array(part)), rf"(?s)\A{_LINE}\z")).as_py():
+            half = len(part) // 2
+            todo += [part[:half], part[half:]]
+    return found
+
+
 def _read_block(lines, fields: tuple[Field, ...]):
-    """Arrow columns of a block in which every line is good and plain, else None."""
+    """(places, columns, doubtful places) of a block whose quoting is sound: the places of lines of the right shape, their
+    Arrow columns, and of these the places with invalid values.  None if the reader fails on the block."""
+    import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
     from pyarrow import csv
 
-    if lines.null_count or pc.any(pc.equal(lines, "")).as_py():  # the reader takes an empty line for a row of nulls
-        return None
-    quoted = lines.filter(pc.match_substring(lines, '"'))
-    if len(quoted) and not pc.all(pc.match_substring_regex(quoted, rf"(?s)\A{_LINE}\z")).as_py():
-        return None
+    wrong: list[int] = []
+
+    def set_aside(row):
+        wrong.append(row.number)
+        return "skip"
+
     data = "\n".join(lines.to_pylist()) + "\n"
     try:
         t = csv.read_csv(
             pa.BufferReader(data.encode()),
             read_options=csv.ReadOptions(column_names=[str(i) for i in range(len(fields))], use_threads=False, block_size=max(1 << 16, 4 * len(data) + 16)),
-            parse_options=csv.ParseOptions(newlines_in_values=False, ignore_empty_lines=False),
+            parse_options=csv.ParseOptions(newlines_in_values=False, ignore_empty_lines=False, invalid_row_handler=set_aside),
             convert_options=csv.ConvertOptions(column_types={str(i): pa.string() for i in range(len(fields))}, strings_can_be_null=False),
         )
-        if t.num_rows != len(lines):
+        if t.num_rows + len(wrong) != len(lines) or None in wrong:
             return None
+        places = np.delete(np.arange(len(lines)), np.array(wrong, int) - 1)
+        doubt = np.zeros(len(places), bool)
         cols = []
         for f, c in zip(fields, t.columns, strict=True):
-            c = pc.utf8_trim(c.combine_chunks(), characters=BLANKS)
+            c = pc.utf8_trim(c.combine_chunks() if c.num_chunks else pa.array([], pa.string()), characters=BLANKS)
             c = pc.if_else(pc.is_in(c, value_set=pa.array(NULL_MARKS)), pa.scalar(None, pa.string()), c)
             if f.kind != "string":
-                if pc.all(pc.match_substring_regex(c, rf"\A{_NUMBER}\z")).as_py() is False:
-                    return None
-                c = pc.replace_substring_regex(pc.replace_substring_regex(c, r"\(.*", ""), r"\A\+", "").cast(pa.float64())
-                if (f.low is not None and pc.any(pc.less(c, f.low)).as_py()) or (f.high is not None and pc.any(pc.greater(c, f.high)).as_py()):
-                    return None
+                given = c.is_valid()
+                c = pc.if_else(pc.match_substring_regex(c, rf"\A{_NUMBER}\z"), c, pa.scalar(None, pa.string()))
+                c = pc.replace_substring_regex(c, r"\A\+|\(.*", "").cast(pa.float64())
+                good = c.is_valid()
+                for bound, beyond in ((f.low, pc.less), (f.high, pc.greater)):
+                    if bound is not None:
+                        good = pc.and_(good, pc.invert(pc.fill_null(beyond(c, bound), False)))
+                if f.kind == "int":
+                    good = pc.and_(good, pc.fill_null(pc.and_(pc.equal(c, pc.floor(c)), pc.less(pc.abs(c), 2.0**31)), False))
+                c = pc.if_else(good, c, pa.scalar(None, pa.float64()))
+                if f.required:
+                    doubt |= pc.and_not(given, good).to_numpy(zero_copy_only=False)
                 if f.kind == "int":
                     c = c.cast(pa.int32())
             cols.append(c)
-        return cols
+        return places, cols, places[doubt]
     except pa.ArrowInvalid:
         return None
 
 
-def _bisect(lines, fields: tuple[Field, ...]):
-    """Yields (columns, reason of each line) over the block in order."""
+def _load_block(lines, fields: tuple[Field, ...]):
+    """(columns, reasons) of a block of lines, in order."""
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    cols = _read_block(lines, fields)
-    if cols is not None:
-        yield cols, [None] * len(lines)
-    elif len(lines) <= STRICT_LINES:
-        read = [read_strictly(x, fields) for x in lines.to_pylist()]
-        arrow = {"string": pa.string(), "int": pa.int32(), "number": pa.float64()}
-        yield [pa.array([None if reason else values[i] for values, reason in read], arrow[f.kind]) for i, f in enumerate(fields)], [reason for _, reason in read]
-    else:
-        half = len(lines) // 2
-        yield from _bisect(lines.slice(0, half), fields)
-        yield from _bisect(lines.slice(half), fields)
+    # Lines that aren't one line of the reader's are never bulk.
+    plain = pc.fill_null(pc.and_(pc.not_equal(lines, ""), pc.invert(pc.match_substring_regex(lines, "[\n\r\\x00]"))), False)
+    bulk = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+    quoted = np.flatnonzero(pc.fill_null(pc.match_substring(lines, '"'), False).to_numpy(zero_copy_only=False))
+    bulk = np.setdiff1d(bulk, _ill_quoted(lines, np.intersect1d(bulk, quoted).tolist()), assume_unique=True)
+    types = [{"string": pa.string(), "int": pa.int32(), "number": pa.float64()}[f.kind] for f in fields]
+    got, where, strict = [[] for _ in fields], [], np.ones(len(lines), bool)
+    todo = [bulk] if len(bulk) else []
+    while todo:
+        part = todo.pop()
+        read = _read_block(lines.take(pa.array(part)), fields)
+        if read is not None:
+            places, cols, doubt = read
+            fine = ~np.isin(places, doubt)
+            where.append(part[places[fine]])
+            strict[where[-1]] = False
+            for all_, c in zip(got, cols, strict=True):
+                all_.append(c.filter(pa.array(fine)))
+        elif len(part) > 1:
+            half = len(part) // 2
+            todo += [part[:half], part[half:]]
+    rest = np.flatnonzero(strict)
+    read = [read_strictly(x.as_py(), fields) for x in lines.take(pa.array(rest))]
+    where.append(rest)
+    reasons = np.full(len(lines), None, object)
+    reasons[rest] = [reason for _, reason in read]
+    order = pa.array(np.argsort(np.concatenate(where), kind="stable"))
+    out = []
+    for i, (all_, kind) in enumerate(zip(got, types, strict=True)):
+        all_.append(pa.array([None if reason else values[i] for values, reason in read], kind))
+        out.append(pa.concat_arrays(all_).take(order))
+    return out, pa.array(reasons, pa.string())
 
 
 def load_lines(df: DataFrame, line_col: str, keys: list[str], fields: tuple[Field, ...] = ATOM_SITE, block: int = BLOCK_LINES) -> DataFrame:
@@ -168,20 +221,10 @@ def load_lines(df: DataFrame, line_col: str, keys: list[str], fields: tuple[Fiel
     def parse(batches):
         import pyarrow as pa
 
-        size = min(block, 256)
         for batch in batches:
-            got, reasons = [[] for _ in fields], []
-            lines, start = batch.column(len(keys)), 0
-            while start < len(lines):
-                took, good = min(size, len(lines) - start), True
-                for cols, why in _bisect(lines.slice(start, took), fields):
-                    for all_, c in zip(got, cols, strict=True):
-                        all_.append(c)
-                    reasons += why
-                    good = good and not any(why)
-                start += took
-                size = min(block, 2 * size) if good else max(STRICT_LINES, size // 2)
-            if reasons:
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *(pa.concat_arrays(c) for c in got), pa.array(reasons, pa.string())], names=schema.names)
+            for start in range(0, len(batch), block):
+                part = batch.slice(start, block)
+                cols, reasons = _load_block(part.column(len(keys)), fields)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *cols, reasons], names=schema.names)
 
     return src.mapInArrow(parse, schema)
