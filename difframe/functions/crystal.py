@@ -72,10 +72,11 @@ def cell_volume(a, b, c, alpha, beta, gamma) -> Column:
 
 
 def reciprocal_metric(a, b, c, alpha, beta, gamma, system) -> Column:
-    """struct(hh, kk, ll, hk, hl, kl): 1/d^2 of (hkl) is their sum with h*h, k*k, l*l, h*k, h*l, k*l.
+    """What ``d_spacing`` needs of a cell: struct(kind, aa, bb, cc, hh, kk, ll, hk, hl, kl).
 
-    Null for degenerate cells and unknown systems; trigonal cells are taken on hexagonal axes.  Compute it once per
-    structure, before indices are expanded.
+    Orthogonal and hexagonal systems (``kind`` 1 to 4) go by their squared axes; for the others 1/d^2 of (hkl) is the sum
+    of the six products with h*h, k*k, l*l, h*k, h*l, k*l.  Null for degenerate cells and unknown systems; trigonal cells
+    are taken on hexagonal axes.  Compute it once per structure, before indices are expanded.
     """
     a, b, c = (_c(v).cast("double") for v in (a, b, c))
     s = _c(system)
@@ -87,35 +88,31 @@ def reciprocal_metric(a, b, c, alpha, beta, gamma, system) -> Column:
     g11, g22, g33, g12, g13, g23 = a * a, b * b, c * c, a * b * cg, a * c * cb, b * c * ca
     det = g11 * (g22 * g33 - g23 * g23) - g12 * (g12 * g33 - g13 * g23) + g13 * (g12 * g23 - g22 * g13)
     adj = [g22 * g33 - g23 * g23, g11 * g33 - g13 * g13, g11 * g22 - g12 * g12, 2.0 * (g13 * g23 - g12 * g33), 2.0 * (g12 * g23 - g13 * g22), 2.0 * (g12 * g13 - g11 * g23)]
-    forms = {
-        "cubic": [one(a), one(a), one(a), zero, zero, zero],
-        "tetragonal": [one(a), one(a), one(c), zero, zero, zero],
-        "orthorhombic": [one(a), one(b), one(c), zero, zero, zero],
-        "hexagonal": [4.0 / 3.0 * one(a), 4.0 / 3.0 * one(a), one(c), 4.0 / 3.0 * one(a), zero, zero],
-        "monoclinic": [per(one(a), sb2), one(b), per(one(c), sb2), zero, per(-2.0 * cb, a * c * sb2), zero],
-        "triclinic": [per(x, det) for x in adj],
-    }
     names = ("hh", "kk", "ll", "hk", "hl", "kl")
-    pack = lambda v: F.struct(*[x.alias(n) for x, n in zip(v, names, strict=True)])
+
+    def pack(kind: int, six: list[Column]) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), (a * a).alias("aa"), (b * b).alias("bb"), (c * c).alias("cc"), *[x.alias(n) for x, n in zip(six, names, strict=True)])
+
+    by_axes = F.when(F.least(a, b, c) > 0, F.lit(True))
     return (
-        F.when(s == "cubic", pack(forms["cubic"]))
-        .when(s == "tetragonal", pack(forms["tetragonal"]))
-        .when(s == "orthorhombic", pack(forms["orthorhombic"]))
-        .when(s.isin("hexagonal", "trigonal"), pack(forms["hexagonal"]))
-        .when((s == "monoclinic") & (sb2 > 1e-20), pack(forms["monoclinic"]))
-        .when((s == "triclinic") & (det > 0), pack(forms["triclinic"]))
+        F.when(s == "cubic", F.when(by_axes, pack(1, [zero] * 6)))
+        .when(s == "tetragonal", F.when(by_axes, pack(2, [zero] * 6)))
+        .when(s == "orthorhombic", F.when(by_axes, pack(3, [zero] * 6)))
+        .when(s.isin("hexagonal", "trigonal"), F.when(by_axes, pack(4, [zero] * 6)))
+        .when((s == "monoclinic") & (sb2 > 1e-20), pack(0, [per(one(a), sb2), one(b), per(one(c), sb2), zero, per(-2.0 * cb, a * c * sb2), zero]))
+        .when((s == "triclinic") & (det > 0), pack(0, [per(x, det) for x in adj]))
     )
 
 
 def d_spacing(h, k, l, metric) -> Column:  # noqa: E741
     """Spacing of (hkl) from a cell's ``reciprocal_metric``; null where that is null or gives none."""
     h, k, l, m = _c(h), _c(k), _c(l), _c(metric)  # noqa: E741
-    # Equal axes: index sums stay whole numbers, so lines of one spacing get the very same number.
-    square, none = m["kk"] == m["hh"], m["hk"] == 0.0
+    # Index sums stay whole numbers, so lines of one spacing get the very same number.
     inv = (
-        F.when(square & none & (m["ll"] == m["hh"]), (h * h + k * k + l * l) * m["hh"])
-        .when(square & none, (h * h + k * k) * m["hh"] + l * l * m["ll"])
-        .when(square & (m["hk"] == m["hh"]), (h * h + h * k + k * k) * m["hh"] + l * l * m["ll"])
+        F.when(m["kind"] == 1, (h * h + k * k + l * l) / m["aa"])
+        .when(m["kind"] == 2, (h * h + k * k) / m["aa"] + l * l / m["cc"])
+        .when(m["kind"] == 3, h * h / m["aa"] + k * k / m["bb"] + l * l / m["cc"])
+        .when(m["kind"] == 4, F.lit(4.0 / 3.0) * (h * h + h * k + k * k) / m["aa"] + l * l / m["cc"])
         .otherwise(h * h * m["hh"] + k * k * m["kk"] + l * l * m["ll"] + h * k * m["hk"] + h * l * m["hl"] + k * l * m["kl"])
     )
     return F.when(inv > 1e-12, 1.0 / F.sqrt(inv))
@@ -192,3 +189,8 @@ def fit_quality(rwp, chi2) -> Column:
     """good, medium or bad."""
     r, x = _c(rwp), _c(chi2)
     return F.when((r < 0.10) & (x < 2.0), "good").when((r < 0.20) & (x < 5.0), "medium").otherwise("bad")
+
+
+def reliability_flag(has_intensities) -> Column:
+    """A warning where a pattern is known to lack structure factors, so that its fit can't be relied on."""
+    return F.when(~_c(has_intensities), "[!sem F2]").otherwise("")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,44 @@ def good_fit(robs: float = 0.08, rfsqd: float = 0.10) -> Column:
     return (F.col("robs") < robs) | (F.col("robs").isNull() & (F.col("rfsqd") < rfsqd))
 
 
+def near_cell(columns: tuple[str, ...] = ("a", "b", "c"), tolerance: float = 0.01, prefix: str = "q_") -> Column:
+    """Cell lengths within ``tolerance`` of those in ``prefix`` columns."""
+    return reduce(lambda x, y: x & y, [F.col(c).between(F.col(prefix + c) * (1 - tolerance), F.col(prefix + c) * (1 + tolerance)) for c in columns])
+
+
+def well_determined(relative: float = 0.005) -> Column:
+    """A volume of small relative error; null where the error is not told."""
+    return F.try_divide(F.col("sigvol"), F.col("vol")) < relative
+
+
+def since(year: int = 1990) -> Column:
+    return F.col("year") > year
+
+
+def consistent(gof: float = 2.0) -> Column:
+    return F.col("gofall") < gof
+
+
+def cell_search(data: DataFrame, questions: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """``q, file``: structures whose three cell lengths are within ``tolerance`` of a question's (``q, a, b, c``).
+
+    Lengths meet by bins of the logarithm of each, so no space of similar cells meets itself whole.
+    """
+    step = -2 * math.log(1 - tolerance)
+    bin_of = lambda c: F.floor(F.log(c) / step).cast("long")
+    q = questions.where("a > 0 AND b > 0 AND c > 0").select("q", *[F.col(x).alias(f"q_{x}") for x in "abc"])
+    for x in "abc":
+        q = q.withColumn(f"bin_{x}", F.explode(F.sequence(bin_of(F.col(f"q_{x}") * (1 - tolerance)), bin_of(F.col(f"q_{x}") * (1 + tolerance)))))
+    own = data.where("a > 0 AND b > 0 AND c > 0").select("file", "a", "b", "c", *[bin_of(F.col(x)).alias(f"bin_{x}") for x in "abc"])
+    return q.join(own, ["bin_a", "bin_b", "bin_c"]).where(near_cell(tolerance=tolerance)).select("q", "file")
+
+
+def with_spacegroups(data: DataFrame, spacegroups: DataFrame) -> DataFrame:
+    """Structures with the settings of their space group (``itcn`` and more): a number with several settings gives several
+    rows, as in the catalogue's own join."""
+    return data.join(spacegroups, data["sgnumber"] == spacegroups["itcn"])
+
+
 def quality_listing(data: DataFrame) -> DataFrame:
     return data.where(clean() & good_fit())
 

@@ -125,5 +125,13 @@ def weight_fractions(scales: DataFrame, structures: DataFrame) -> DataFrame:
     j = scales.join(s, "cod_id", "left")
     zmv = F.greatest(F.coalesce(F.when(F.col("z") > 0, F.col("scale") * F.col("z") * F.col("mass") * F.col("volume")), F.lit(0.0)), F.lit(0.0))
     j = j.withColumn("zmv", zmv)
-    total = F.sum("zmv").over(Window.partitionBy("scan_id"))
-    return j.withColumn("weight_pct", F.when(total > 0, 100.0 * F.col("zmv") / total).otherwise(0.0)).select("scan_id", "cod_id", "scale", "z", "mass", "volume", "zmv", "weight_pct")
+    # Totals by an aggregate, so that a scan with very many phases is no single window.
+    totals = j.groupBy("scan_id").agg(F.sum("zmv").alias("total")).select(F.col("scan_id").alias("of"), "total")
+    j = j.join(totals, F.col("scan_id").eqNullSafe(F.col("of")))
+    return j.withColumn("weight_pct", F.when(F.col("total") > 0, 100.0 * F.col("zmv") / F.col("total")).otherwise(0.0)).select("scan_id", "cod_id", "scale", "z", "mass", "volume", "zmv", "weight_pct")
+
+
+def dominant_phase(fractions: DataFrame) -> DataFrame:
+    """``scan_id, cod_id, weight_pct`` of each scan's phase of most weight (the smaller cod_id of equal ones)."""
+    top = fractions.groupBy("scan_id").agg(F.max_by(F.struct("cod_id", "weight_pct"), F.struct("weight_pct", -F.col("cod_id"))).alias("r"))
+    return top.select("scan_id", "r.*")

@@ -276,3 +276,10 @@ def reflection_tables(patterns: DataFrame) -> dict[str, DataFrame]:
         "families": nodes.where("level = 'family'").select(*keys, "line_no", "family_no", "h", "k", "l", num("multiplicity").cast("int").alias("multiplicity"), F.col("attrs")["phase.origin"].alias("phase_origin")),
         "equivalents": nodes.where("level = 'member'").select(*keys, "line_no", "family_no", "member_no", "h", "k", "l"),
     }
+
+
+def family_multiplicities(patterns: DataFrame) -> DataFrame:
+    """``id, cod_id, line_no, n_families, multiplicity`` of every line that has families: the sum of theirs."""
+    m = F.col("attrs")["multiplicity"].try_cast("double").cast("int")
+    families = reflection_nodes(patterns).where("level = 'family'")
+    return families.groupBy("id", "cod_id", "line_no").agg(F.count(F.lit(1)).alias("n_families"), F.sum(m).alias("multiplicity"))

@@ -37,7 +37,7 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
 
     Each range goes to the bins it touches, so ``width`` should be near a typical range; ``bin_by``, an increasing
     function, makes ranges that grow with their position alike (a logarithm for relative widths).  The ranges are
-    broadcast only when they are counted to be few; otherwise both sides shuffle by bin and AQE splits hot bins.  Null
+    broadcast only when they are measured to be small; otherwise both sides shuffle by bin and AQE splits hot bins.  Null
     points and empty ranges match nothing.
     """
     place = bin_by or (lambda c: c)
@@ -47,6 +47,18 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
     return own.join(small(cut), "__bin").where(F.col(point).between(F.col(low), F.col(high))).drop("__bin")
 
 
+def by_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in the first column of ``ids``: an IN-list of any length.  Null and repeated ids
+    add nothing, an empty list gives no rows."""
+    return df.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi").select(*df.columns)
+
+
+def next_jobs(jobs: DataFrame, size: str, key: str, limit: int | None = None) -> DataFrame:
+    """Jobs from small to large by their estimated ``size`` (a missing one is 0), then by ``key``; the first ``limit``."""
+    ordered = jobs.orderBy(F.coalesce(F.col(size), F.lit(0)), key)
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def pending(jobs: DataFrame, done: list[DataFrame], keys: list[str]) -> DataFrame:
     """Jobs that none of ``done`` holds (by ``keys``): what a run still has to do, also after a restart."""
     return reduce(lambda a, d: a.join(d.select(*keys).distinct(), keys, "left_anti"), done, jobs)

@@ -10,8 +10,8 @@ from difframe.operators.relational import best_row, range_join, top_ranked
 
 #: Strongest lines a fingerprint keeps.
 LINES = 30
-#: Bin of the logarithm of spacings: a search window is 0.7 % of the spacing at 90 degrees and 4 % at 20.
-LOG_D_BIN = 0.02
+#: Bin of the logarithm of spacings: a search window is 0.35 % of the spacing at 90 degrees and 2 % at 20.
+LOG_D_BIN = 0.004
 
 
 def best_patterns(patterns: DataFrame) -> DataFrame:
@@ -30,16 +30,19 @@ def fingerprints(patterns: DataFrame, lines: int | None = LINES) -> DataFrame:
 def peak_windows(peaks: DataFrame, wavelength: float = CU_KA, tolerance: float = 0.2) -> DataFrame:
     """``scan_id, peak_no, d_lo, d_hi`` of observed peaks (``scan_id, peak_no, two_theta``)."""
     w = d_window("two_theta", wavelength, tolerance)
-    return peaks.select("scan_id", "peak_no", F.round(w["d_lo"], 6).alias("d_lo"), F.round(w["d_hi"], 6).alias("d_hi"))
+    return peaks.select("scan_id", "peak_no", w["d_lo"].alias("d_lo"), w["d_hi"].alias("d_hi"))
 
 
 def match_phases(prints: DataFrame, windows: DataFrame, min_matches: int = 3, top: int = 50, ties: bool = False) -> DataFrame:
     """``scan_id, cod_id, n_matched, rank``: phases by the number of distinct peaks of a scan they explain.
 
-    Every scan is searched at once.  The count is exact; ties go to the smaller cod_id or, with ``ties``, share a rank,
+    Every scan is searched at once.  Lines are spread by cod_id: while the windows are small enough
+    to be sent, the lines of a structure stay in one task, so (scan, structure) pairs are counted there and
+    never shuffled; what is shuffled are each task's ``top`` phases of a scan.  The count is exact; ties go to the smaller cod_id or, with ``ties``, share a rank,
     so that every phase that ties at the last place is kept.
     """
-    hits = range_join(prints.select("cod_id", "d_hkl"), windows, "d_hkl", "d_lo", "d_hi", LOG_D_BIN, F.log)
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = range_join(prints.select("cod_id", "d_hkl").repartition(tasks, "cod_id"), windows, "d_hkl", "d_lo", "d_hi", LOG_D_BIN, F.log)
     counts = hits.groupBy("scan_id", "cod_id").agg(F.countDistinct("peak_no").cast("int").alias("n_matched")).where(F.col("n_matched") >= min_matches)
     if ties:
         return counts.withColumn("rank", F.rank().over(Window.partitionBy("scan_id").orderBy(F.desc("n_matched")))).where(F.col("rank") <= top)
@@ -47,10 +50,14 @@ def match_phases(prints: DataFrame, windows: DataFrame, min_matches: int = 3, to
 
 
 def prefilter(candidates: DataFrame, peaks: DataFrame, min_matches: int = 3, top: int = 50, wavelength: float = CU_KA, tolerance: float = 0.2) -> DataFrame:
-    """The same search over an in-memory candidate list (``cod_id, reflections``): every positive line counts."""
+    """The same search over a list of candidates (``cod_id, reflections``): every positive line counts.  If they have a
+    ``position``, candidates of as many matches keep that order."""
     flat = candidates.select("cod_id", F.explode("reflections").alias("r")).select("cod_id", F.col("r.d_hkl").alias("d_hkl"), F.col("r.intensity_rel").alias("i")).where("i > 0 AND d_hkl > 0")
-    found = match_phases(flat, peak_windows(peaks, wavelength, tolerance), min_matches, top)
-    return found.join(candidates, "cod_id")
+    windows = peak_windows(peaks, wavelength, tolerance)
+    if "position" not in candidates.columns:
+        return match_phases(flat, windows, min_matches, top).join(candidates, "cod_id")
+    all_ = match_phases(flat, windows, min_matches, 2**31 - 1, ties=True).drop("rank")
+    return top_ranked(all_.join(candidates, "cod_id"), ["scan_id"], [F.desc("n_matched"), F.asc_nulls_last("position"), F.asc("cod_id")], top)
 
 
 def dropped_hits(found: DataFrame, kept: DataFrame) -> DataFrame:

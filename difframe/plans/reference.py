@@ -10,11 +10,12 @@ from difframe.functions import chemistry as ch
 from difframe.functions import crystal as cr
 from difframe.operators import catalogue as cat
 from difframe.operators import fit, relational, search
-from difframe.operators.pattern import calculate_patterns, lines_of, structure_factors
+from difframe.operators.nested import family_multiplicities
+from difframe.operators.pattern import MAX_VOLUME, calculate_patterns, lines_of, refusals, scaled_to_100, structure_factors
 from difframe.plans.catalogue import query
 from difframe.runtime import shared_dir, staged, table
 from difframe.sources import cif, diffractogram, dump
-from difframe.streaming.upsert import latest, upsert_stream
+from difframe.streaming.upsert import BUCKET, stored, upsert_stream
 
 
 def structures(spark, sf_dir) -> DataFrame:
@@ -29,6 +30,9 @@ def r(x, n: int = 6):
 
 _BEST = """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cod_id ORDER BY wavelength DESC NULLS LAST, n_reflections DESC NULLS LAST, id) AS k
              FROM (SELECT DISTINCT id, cod_id, wavelength, rad_symbol, n_reflections, has_intensities, reflections FROM reference_patterns) WHERE has_intensities) WHERE k = 1)"""
+_BESTS = """any_best AS (SELECT cod_id, has_intensities FROM (SELECT *, row_number() OVER (PARTITION BY cod_id ORDER BY calculated_at DESC NULLS LAST, id DESC) AS k
+             FROM (SELECT DISTINCT id, cod_id, has_intensities, calculated_at FROM reference_patterns)) WHERE k = 1)"""
+_GRID = tuple(range(10, 90, 5))
 _PRINT = f"""{_BEST},
        flat AS (SELECT cod_id, wavelength, rad_symbol, unnest(reflections) AS x FROM best),
        prints AS (SELECT cod_id, x.d_hkl AS d_hkl, x.intensity_rel AS intensity_rel, x.two_theta AS two_theta_src, wavelength, rad_symbol, x.h AS h, x.k AS k, x.l AS l,
@@ -51,15 +55,40 @@ def fingerprint_top30(spark, sf_dir):
     f"""WITH {_PRINT},
        win AS (SELECT cod_id AS scan_id, rank AS peak_no,
                       round(1.54056 / (2 * sin(radians((t + 0.2) / 2))), 6) AS d_lo, round(1.54056 / (2 * sin(radians(greatest(t - 0.2, 1e-6) / 2))), 6) AS d_hi
-               FROM (SELECT cod_id, rank, degrees(2 * asin(1.54056 / (2 * d_hkl))) AS t FROM prints WHERE cod_id % 20 = 0 AND 1.54056 <= 2 * d_hkl)),
-       hits AS (SELECT w.scan_id, p.cod_id, CAST(count(DISTINCT w.peak_no) AS INTEGER) AS n_matched FROM prints p JOIN win w ON p.d_hkl BETWEEN w.d_lo AND w.d_hi GROUP BY ALL)
+               FROM (SELECT cod_id, rank, degrees(2 * asin(1.54056 / (2 * d_hkl))) AS t FROM prints WHERE rank <= 30 AND cod_id % 20 = 0 AND 1.54056 <= 2 * d_hkl)),
+       hits AS (SELECT w.scan_id, p.cod_id, CAST(count(DISTINCT w.peak_no) AS INTEGER) AS n_matched FROM (SELECT * FROM prints WHERE rank <= 30) p JOIN win w ON p.d_hkl BETWEEN w.d_lo AND w.d_hi GROUP BY ALL)
        SELECT scan_id, cod_id, n_matched, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY scan_id ORDER BY n_matched DESC, cod_id) AS rank FROM hits WHERE n_matched >= 2) WHERE rank <= 50""",
 )
 def hanawalt_search(spark, sf_dir):
-    """Structures whose number is divisible by 20, as unknown scans, against all fingerprints."""
-    prints = staged(search.fingerprints(table(spark, sf_dir, "reference_patterns"), None), "fingerprints")
+    """Structures whose number is divisible by 20, as unknown scans, against the 30-line fingerprints of all."""
+    prints = staged(search.fingerprints(table(spark, sf_dir, "reference_patterns")), "fingerprints")
     peaks = prints.where("cod_id % 20 = 0").select(F.col("cod_id").alias("scan_id"), F.col("rank").alias("peak_no"), cr.bragg_two_theta("d_hkl").alias("two_theta")).where("two_theta IS NOT NULL")
-    return search.match_phases(prints, search.peak_windows(peaks), min_matches=2, top=50)
+    windows = search.peak_windows(peaks).select("scan_id", "peak_no", r("d_lo").alias("d_lo"), r("d_hi").alias("d_hi"))
+    return search.match_phases(prints, windows, min_matches=2, top=50)
+
+
+@query(
+    "gaussian_sum",
+    f"""WITH {_BEST}, f AS (SELECT cod_id, x.two_theta AS c, x.intensity_rel AS i FROM (SELECT cod_id, unnest(reflections) AS x FROM best) WHERE x.intensity_rel > 0),
+         g AS (SELECT CAST(unnest(range(10, 90, 5)) AS DOUBLE) AS tth), y AS (SELECT cod_id, tth, sum(i * exp(-4 * ln(2) * ((tth - c) / 4.0)**2)) AS y FROM f, g GROUP BY cod_id, tth)
+       SELECT cod_id, tth, round(CASE WHEN top > 0 THEN 100 * y / top ELSE y END, 4) AS y FROM (SELECT *, max(y) OVER (PARTITION BY cod_id) AS top FROM y)""",
+)
+def gaussian_sum(spark, sf_dir):
+    """Gaussian lines of every structure's best pattern on a coarse grid, scaled to a highest point of 100."""
+    lines = search.best_patterns(table(spark, sf_dir, "reference_patterns")).select("cod_id", F.explode("reflections").alias("x")).where("x.intensity_rel > 0")
+    lines = lines.select("cod_id", F.col("x.two_theta").alias("c"), F.col("x.intensity_rel").alias("i"), F.explode(F.array(*[F.lit(float(g)) for g in _GRID])).alias("tth"))
+    y = lines.groupBy("cod_id", "tth").agg(F.sum(F.col("i") * cr.gaussian("tth", "c", F.lit(4.0))).alias("y"))
+    return scaled_to_100(y, "cod_id", "y").withColumn("y", r("y", 4))
+
+
+@query(
+    "pattern_flags",
+    f"""WITH {_BESTS} SELECT cod_id, CASE WHEN has_intensities THEN '' WHEN NOT has_intensities THEN '[!sem F2]' ELSE '' END AS flag FROM any_best""",
+)
+def pattern_flags(spark, sf_dir):
+    """The warning that a structure's newest pattern lacks structure factors."""
+    newest = relational.best_row(table(spark, sf_dir, "reference_patterns"), ["cod_id"], ["calculated_at", "id"], ["has_intensities"])
+    return newest.select("cod_id", cr.reliability_flag("has_intensities").alias("flag"))
 
 
 # ---- latest rows, metadata, jobs ------------------------------------------------------------------------------------
@@ -76,15 +105,52 @@ def latest_cu_pattern(spark, sf_dir):
     return relational.best_row(p, ["cod_id"], ["calculated_at", "id"], ["id", "wavelength", "n_reflections"])
 
 
+#: Fields of a structure's metadata, beside the angles and those of its pattern.
+_META = "formula calcformula mineral chemname commonname sg sgnumber sghall a b c z zprime wavelength radsymbol method status flags authors title journal year doi".split()
+_META_SQL = ", ".join(f"d.{c}" for c in _META)
+
+
 @query(
     "metadata_left_join",
-    f"""WITH {_LATEST} SELECT d.file AS cod_id, d.formula, d.sgnumber, coalesce(d.alpha, 90.0) AS alpha, coalesce(d.beta, 90.0) AS beta, coalesce(d.gamma, 90.0) AS gamma, l.id AS pattern_id, l.n_reflections
+    f"""WITH {_LATEST} SELECT d.file AS cod_id, {_META_SQL}, coalesce(d.alpha, 90.0) AS alpha, coalesce(d.beta, 90.0) AS beta, coalesce(d.gamma, 90.0) AS gamma, l.id AS pattern_id, l.n_reflections, l.has_intensities
        FROM cod_data d LEFT JOIN latest l ON l.cod_id = d.file""",
 )
 def metadata_left_join(spark, sf_dir):
     """Structures with right angles filled in and their newest Cu pattern, if any."""
+    return _metadata(spark, sf_dir)
+
+
+def _metadata(spark, sf_dir) -> DataFrame:
     ninety = [F.coalesce(F.col(x), F.lit(90.0)).alias(x) for x in ("alpha", "beta", "gamma")]
-    return structures(spark, sf_dir).select("cod_id", "formula", "sgnumber", *ninety).join(latest_cu_pattern(spark, sf_dir).select("cod_id", F.col("id").alias("pattern_id"), "n_reflections"), "cod_id", "left")
+    newest = latest_cu_pattern(spark, sf_dir).select("cod_id", F.col("id").alias("pattern_id"), "n_reflections", F.lit(True).alias("has_intensities"))
+    return structures(spark, sf_dir).select("cod_id", *_META, *ninety).join(newest, "cod_id", "left")
+
+
+def _failed_ids(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "failed_patterns_pymatgen").select("cod_id")
+
+
+@query(
+    "fetch_metadata",
+    f"""WITH {_LATEST} SELECT d.file AS cod_id, {_META_SQL}, coalesce(d.alpha, 90.0) AS alpha, coalesce(d.beta, 90.0) AS beta, coalesce(d.gamma, 90.0) AS gamma, l.id AS pattern_id, l.n_reflections, l.has_intensities
+       FROM cod_data d LEFT JOIN latest l ON l.cod_id = d.file WHERE d.file IN (SELECT cod_id FROM failed_patterns_pymatgen WHERE cod_id IS NOT NULL)""",
+)
+def fetch_metadata(spark, sf_dir):
+    """Metadata of a list of structures: those whose second-generation pattern failed."""
+    return relational.by_ids(_metadata(spark, sf_dir), _failed_ids(spark, sf_dir), "cod_id")
+
+
+@query(
+    "fetch_reflections",
+    f"""WITH {_LATEST} SELECT l.cod_id, l.id, x.h AS h, x.k AS k, x.l AS l, x.d_hkl AS d_hkl, x.two_theta AS two_theta, x.intensity_rel AS intensity_rel
+       FROM latest l JOIN (SELECT DISTINCT id, cod_id, unnest(reflections) AS x FROM (SELECT DISTINCT id, cod_id, reflections FROM reference_patterns)) p ON p.id = l.id AND p.cod_id = l.cod_id
+       WHERE l.cod_id IN (SELECT cod_id FROM failed_patterns_pymatgen WHERE cod_id IS NOT NULL)""",
+)
+def fetch_reflections(spark, sf_dir):
+    """Lines of the newest Cu pattern with intensities of a list of structures."""
+    p = relational.by_ids(table(spark, sf_dir, "reference_patterns").where("has_intensities AND wavelength BETWEEN 1.535 AND 1.546"), _failed_ids(spark, sf_dir), "cod_id")
+    newest = relational.best_row(p, ["cod_id"], ["calculated_at", "id"], ["id", "reflections"])
+    return newest.select("cod_id", "id", F.explode("reflections").alias("x")).select("cod_id", "id", *[f"x.{c}" for c in ("h", "k", "l", "d_hkl", "two_theta", "intensity_rel")]).distinct()
 
 
 _JOBS = """jobs AS (SELECT d.file AS cod_id, e.n AS estimate FROM cod_data d LEFT JOIN (SELECT cod_id, n FROM (SELECT cod_id, n_reflections AS n, row_number() OVER (PARTITION BY cod_id ORDER BY calculated_at DESC NULLS LAST, id DESC) AS k
@@ -102,6 +168,19 @@ def pending_jobs(spark, sf_dir):
     return todo.join(estimate, "cod_id", "left").select("cod_id", F.col("n_reflections").alias("estimate"), relational.size_tier("n_reflections").alias("tier"))
 
 
+@query(
+    "next_jobs",
+    f"""WITH {_JOBS}, files AS (SELECT DISTINCT cod_id FROM atomic_sites WHERE cod_id IS NOT NULL)
+       SELECT cod_id, path, estimate FROM (SELECT j.cod_id, 'cif/' || substr(lpad(CAST(j.cod_id AS VARCHAR), 7, '0'), 1, 1) || '/' || substr(lpad(CAST(j.cod_id AS VARCHAR), 7, '0'), 2, 2) || '/' || substr(lpad(CAST(j.cod_id AS VARCHAR), 7, '0'), 4, 2) || '/' || lpad(CAST(j.cod_id AS VARCHAR), 7, '0') || '.cif' AS path,
+         coalesce(j.estimate, 0) AS estimate FROM jobs j JOIN files f ON f.cod_id = j.cod_id ORDER BY coalesce(j.estimate, 0), j.cod_id LIMIT 200)""",
+)
+def next_jobs(spark, sf_dir):
+    """The 200 smallest pending jobs among structures that have a file: here those whose sites are loaded."""
+    files = table(spark, sf_dir, "atomic_sites").where("cod_id IS NOT NULL").select("cod_id").distinct().select("cod_id", cif.cif_path("cod_id").alias("path"))
+    jobs = pending_jobs(spark, sf_dir).join(files, "cod_id").select("cod_id", "path", F.coalesce("estimate", F.lit(0)).alias("estimate"))
+    return relational.next_jobs(jobs, "estimate", "cod_id", 200)
+
+
 @query(
     "pending_per_radiation",
     """SELECT DISTINCT r.cod_id, r.wavelength FROM reference_patterns r WHERE r.cod_id IS NOT NULL AND r.wavelength IS NOT NULL
@@ -142,20 +221,33 @@ def structure_geometry(spark, sf_dir):
     return s.select("cod_id", cr.crystal_system("sgnumber").alias("system"), cr.lattice_type("sg").alias("lattice"), r(cr.cell_volume("a", "b", "c", "alpha", "beta", "gamma"), 4).alias("volume"))
 
 
+_GRID_LINES = f"""grid AS (SELECT h, k, l FROM (SELECT unnest(range(0, 16)) AS h), (SELECT unnest(range(-15, 16)) AS k), (SELECT unnest(range(-15, 16)) AS l) WHERE h > 0 OR k > 0 OR (k = 0 AND l > 0)),
+         d AS (SELECT *, CASE WHEN inv > 1e-12 THEN 1 / sqrt(inv) END AS d FROM (SELECT *, {_INV} AS inv FROM vols, grid WHERE {_ALLOWED})),
+         t AS (SELECT *, CASE WHEN 1.54056 / (2 * d) <= 1 THEN degrees(2 * asin(1.54056 / (2 * d))) END AS tt FROM d WHERE d >= 0.4),
+         f AS (SELECT *, row_number() OVER (PARTITION BY cod_id, round_even(d * 1000, 0) ORDER BY h, k, l) AS n FROM t WHERE tt BETWEEN 5 AND 90)"""
+
+
 @query(
     "pattern_lines",
-    f"""WITH {_CELLS}, grid AS (SELECT h, k, l FROM (SELECT unnest(range(0, 4)) AS h), (SELECT unnest(range(-3, 4)) AS k), (SELECT unnest(range(-3, 4)) AS l) WHERE h > 0 OR k > 0 OR (k = 0 AND l > 0)),
-         d AS (SELECT *, CASE WHEN inv > 1e-12 THEN 1 / sqrt(inv) END AS d FROM (SELECT *, {_INV} AS inv FROM vols, grid WHERE vol <= 20000 AND {_ALLOWED})),
-         t AS (SELECT *, CASE WHEN 1.54056 / (2 * d) <= 1 THEN degrees(2 * asin(1.54056 / (2 * d))) END AS tt FROM d WHERE d >= 0.4),
-         f AS (SELECT *, row_number() OVER (PARTITION BY cod_id, round_even(d * 1000, 0) ORDER BY h, k, l) AS n FROM t WHERE tt BETWEEN 5 AND 90)
+    f"""WITH {_CELLS}, {_GRID_LINES}
        SELECT cod_id, CAST(count(*) AS BIGINT) AS n_lines, round(sum(d), 4) AS sum_d FROM f WHERE n = 1 GROUP BY cod_id""",
 )
 def pattern_lines(spark, sf_dir):
-    """Lines of every structure up to index 3: number and summed spacings."""
-    lines = lines_of(structures(spark, sf_dir), cr.CU_KA, hkl_max=3)
+    """Lines of every structure over the whole index grid: number and summed spacings."""
+    lines = lines_of(structures(spark, sf_dir), cr.CU_KA)
     return lines.groupBy("cod_id").agg(F.count(F.lit(1)).alias("n_lines"), r(F.sum("d"), 4).alias("sum_d"))
 
 
+@query(
+    "refused_structures",
+    f"""WITH t AS (SELECT file AS cod_id, a, b, c, sgnumber, {_SYSTEM.format("sgnumber")} AS system, a > 0 AND b > 0 AND c > 0 AS cell, {_VOLUME.replace("(alpha)", "(coalesce(alpha, 90.0))").replace("(beta)", "(coalesce(beta, 90.0))").replace("(gamma)", "(coalesce(gamma, 90.0))")} AS volume FROM cod_data)
+       SELECT cod_id, status FROM (SELECT cod_id, CASE WHEN NOT coalesce(cell, false) THEN 'NoCell' WHEN sgnumber IS NULL THEN 'NoSpaceGroup' WHEN system = 'unknown' THEN 'UnknownSystem' WHEN volume > 20000 THEN 'StructureTooLarge' END AS status FROM t) WHERE status IS NOT NULL""",
+)
+def refused_structures(spark, sf_dir):
+    """Structures that a second-generation calculator refuses, with the reason."""
+    return refusals(structures(spark, sf_dir), MAX_VOLUME).select("cod_id", "status")
+
+
 @query(
     "d_spacings",
     f"""WITH {_CELLS}, g AS (SELECT * FROM (VALUES (1,0,0), (0,1,1), (1,-1,2), (2,1,1)) t(h, k, l))
@@ -222,9 +314,6 @@ def intensity_norm(spark, sf_dir):
     return flat.select("id", "h", "k", "l", F.when(top > 0, r(100.0 * F.col("raw") / top, 2)).otherwise(0.0).alias("intensity_norm"))
 
 
-_GRID = tuple(range(10, 90, 5))
-
-
 @query(
     "profile_sum",
     f"""WITH {_BEST}, f AS (SELECT cod_id, x.two_theta AS c, x.intensity_rel AS i, sqrt(greatest(0.01 * tan(radians(x.two_theta / 2))**2 - 0.002 * tan(radians(x.two_theta / 2)) + 0.005, 1e-8)) AS w
@@ -255,15 +344,19 @@ _CM = ", ".join(f"('{e}', {', '.join(map(str, c))})" for e, c in ch.CROMER_MANN.
 _Z = ", ".join(f"('{e}', {i + 1})" for i, e in enumerate(ch.ELEMENTS))
 
 
+_SITES = """st AS (SELECT DISTINCT cod_id, label, regexp_extract(coalesce(trim(type_symbol), ''), '^([A-Z][a-z]?)', 1) AS e, coalesce(fract_x, 0) AS x, coalesce(fract_y, 0) AS y, coalesce(fract_z, 0) AS z,
+                CASE WHEN coalesce(occupancy, 0) = 0 THEN 1.0 ELSE occupancy END AS occ, greatest(coalesce(u_iso_or_equiv, 0), 0) AS u FROM atomic_sites)"""
+_AMPLITUDES = """SELECT ln.*, 2 * pi() * (h * st.x + k * st.y + l * st.z) AS ph, st.occ * exp(-8 * pi() * pi() * st.u / (4 * d * d)) *
+                 CASE WHEN st.e = '' THEN 1.0 WHEN cm.e IS NOT NULL THEN a1 * exp(-b1 / (4*d*d)) + a2 * exp(-b2 / (4*d*d)) + a3 * exp(-b3 / (4*d*d)) + a4 * exp(-b4 / (4*d*d)) + c0 ELSE coalesce(zz.z, 1) * exp(-3 / (4*d*d)) END AS f
+                 FROM ln JOIN st ON st.cod_id = ln.cod_id LEFT JOIN cm ON cm.e = st.e LEFT JOIN zz ON zz.e = st.e"""
+
+
 @query(
     "structure_factor",
     f"""WITH cm(e, a1, a2, a3, a4, b1, b2, b3, b4, c0) AS (VALUES {_CM}), zz(e, z) AS (VALUES {_Z}), {_BEST},
          ln AS (SELECT cod_id, x.h AS h, x.k AS k, x.l AS l, x.d_hkl AS d FROM (SELECT cod_id, unnest(reflections) AS x FROM best) WHERE x.d_hkl > 0),
-         st AS (SELECT DISTINCT cod_id, label, regexp_extract(coalesce(trim(type_symbol), ''), '^([A-Z][a-z]?)', 1) AS e, coalesce(fract_x, 0) AS x, coalesce(fract_y, 0) AS y, coalesce(fract_z, 0) AS z,
-                CASE WHEN coalesce(occupancy, 0) = 0 THEN 1.0 ELSE occupancy END AS occ, greatest(coalesce(u_iso_or_equiv, 0), 0) AS u FROM atomic_sites),
-         amp AS (SELECT ln.*, 2 * pi() * (h * st.x + k * st.y + l * st.z) AS ph, st.occ * exp(-8 * pi() * pi() * st.u / (4 * d * d)) *
-                 CASE WHEN st.e = '' THEN 1.0 WHEN cm.e IS NOT NULL THEN a1 * exp(-b1 / (4*d*d)) + a2 * exp(-b2 / (4*d*d)) + a3 * exp(-b3 / (4*d*d)) + a4 * exp(-b4 / (4*d*d)) + c0 ELSE coalesce(zz.z, 1) * exp(-3 / (4*d*d)) END AS f
-                 FROM ln JOIN st ON st.cod_id = ln.cod_id LEFT JOIN cm ON cm.e = st.e LEFT JOIN zz ON zz.e = st.e)
+         {_SITES},
+         amp AS ({_AMPLITUDES})
        SELECT cod_id, h, k, l, d, round(sum(f * cos(ph))**2 + sum(f * sin(ph))**2, 3) AS f_sq FROM amp GROUP BY cod_id, h, k, l, d""",
 )
 def structure_factor(spark, sf_dir):
@@ -272,12 +365,25 @@ def structure_factor(spark, sf_dir):
     return structure_factors(lines, table(spark, sf_dir, "atomic_sites")).where("f_sq IS NOT NULL").withColumn("f_sq", r("f_sq", 3))
 
 
-@query("calculated_patterns")
+_LP = "(1 + cos(radians(tt))**2) / (sin(radians(tt / 2))**2 * cos(radians(tt / 2)))"
+
+
+@query(
+    "calculated_patterns",
+    f"""WITH cm(e, a1, a2, a3, a4, b1, b2, b3, b4, c0) AS (VALUES {_CM}), zz(e, z) AS (VALUES {_Z}), {_CELLS}, {_GRID_LINES},
+         ln AS (SELECT cod_id, h, k, l, d, tt, system, CAST(h = 0 AS INT) + CAST(k = 0 AS INT) + CAST(l = 0 AS INT) AS z FROM f WHERE n = 1),
+         {_SITES},
+         fs AS (SELECT cod_id, h, k, l, sum(f * cos(ph))**2 + sum(f * sin(ph))**2 AS f_sq FROM ({_AMPLITUDES}) GROUP BY cod_id, h, k, l),
+         w AS (SELECT ln.*, fs.f_sq * {_MULT} * {_LP} AS raw FROM ln LEFT JOIN fs USING (cod_id, h, k, l)),
+         x AS (SELECT *, max(raw) OVER (PARTITION BY cod_id) AS top FROM w)
+       SELECT cod_id, CAST(count(*) AS INTEGER) AS n_reflections, coalesce(bool_or(raw IS NOT NULL), false) AS has_intensities, CAST(max(CASE WHEN raw IS NULL THEN 0.0 WHEN top > 0 THEN round(100 * raw / top, 2) ELSE 0.0 END) AS DOUBLE) AS strongest,
+         round(sum(CASE WHEN top > 0 THEN 100 * raw / top END), 3) AS total FROM x GROUP BY cod_id""",
+)
 def calculated_patterns(spark, sf_dir):
     """Patterns with intensities of every structure over the whole index grid, from cells and sites."""
-    out = calculate_patterns(structures(spark, sf_dir), table(spark, sf_dir, "atomic_sites"), cr.CU_KA)
+    out = calculate_patterns(structures(spark, sf_dir), table(spark, sf_dir, "atomic_sites"), cr.CU_KA, exact=True)
     strongest = F.aggregate("reflections", F.lit(0.0), lambda m, x: F.greatest(m, F.coalesce(x["intensity_rel"], F.lit(0.0))))
-    return out.select("cod_id", "n_reflections", "has_intensities", strongest.alias("strongest"))
+    return out.select("cod_id", "n_reflections", "has_intensities", r(strongest, 2).alias("strongest"), r("total_intensity", 3).alias("total"))
 
 
 @query(
@@ -392,6 +498,19 @@ def weight_fractions(spark, sf_dir):
     return fit.weight_fractions(scales, s).select("scan_id", "cod_id", r("weight_pct").alias("weight_pct"))
 
 
+@query(
+    "dominant_phase",
+    f"""WITH {_MASS}, s AS (SELECT d.sgnumber AS scan_id, d.file AS cod_id, coalesce(d.gofall, 1.0) AS scale, d.z, m.mass, {_VOLUME.replace("(a *", "(d.a *")} AS volume FROM cod_data d LEFT JOIN mass m ON m.cod_id = d.file WHERE d.sgnumber IS NOT NULL),
+         q AS (SELECT *, greatest(coalesce(CASE WHEN z > 0 THEN scale * z * mass * volume END, 0), 0) AS zmv FROM s)
+       SELECT scan_id, cod_id, round(CASE WHEN t > 0 THEN 100 * zmv / t ELSE 0 END, 6) AS weight_pct FROM (SELECT *, sum(zmv) OVER (PARTITION BY scan_id) AS t, row_number() OVER (PARTITION BY scan_id ORDER BY zmv DESC, cod_id) AS k FROM q) WHERE k = 1""",
+)
+def dominant_phase(spark, sf_dir):
+    """The structure of most weight of every space group, by the fractions of weight_fractions."""
+    s = structures(spark, sf_dir).where("sgnumber IS NOT NULL")
+    scales = s.select(F.col("sgnumber").alias("scan_id"), "cod_id", F.coalesce("gofall", F.lit(1.0)).alias("scale"))
+    return fit.dominant_phase(fit.weight_fractions(scales, s)).withColumn("weight_pct", r("weight_pct"))
+
+
 # ---- catalogue queries ----------------------------------------------------------------------------------------------
 
 _GOOD = "status IS NULL AND onhold IS NULL AND radiation = 'X-ray' AND (method IS NULL OR method <> 'theoretical') AND flags LIKE '%has coordinates%'"
@@ -488,6 +607,63 @@ def diag_tiers(spark, sf_dir):
     return p.groupBy(relational.size_tier("n_reflections").alias("tier")).agg(F.count(F.lit(1)).alias("n"), r(F.avg("t_calc_s"), 2).alias("calc_s"), r(F.avg("rss_delta_mb"), 2).alias("rss_mb"))
 
 
+@query(
+    "peaks_with_names",
+    f"""SELECT p.cod_id, d.formula, d.mineral, x.h AS h, x.k AS k, x.l AS l, x.two_theta AS two_theta, x.intensity_rel AS intensity_rel FROM ({_FLAT}) p JOIN cod_data d ON d.file = p.cod_id
+       WHERE p.wavelength BETWEEN 1.535 AND 1.546 AND x.intensity_rel >= 90""",
+)
+def peaks_with_names(spark, sf_dir):
+    """Strong lines of Cu patterns with the names of their structures."""
+    flat = _flat(spark, sf_dir).where("wavelength BETWEEN 1.535 AND 1.546 AND intensity_rel >= 90")
+    return flat.join(structures(spark, sf_dir).select("cod_id", "formula", "mineral"), "cod_id").select("cod_id", "formula", "mineral", "h", "k", "l", "two_theta", "intensity_rel")
+
+
+@query(
+    "family_multiplicity",
+    """WITH t AS (SELECT DISTINCT id, cod_id, CAST(reflections AS JSON) AS j FROM reference_patterns_pymatgen WHERE json_valid(reflections)),
+         u AS (SELECT id, CASE WHEN json_type(j) = 'VARCHAR' AND json_valid(j ->> '$') THEN CAST(j ->> '$' AS JSON) ELSE j END AS j FROM t),
+         a AS (SELECT id, CASE WHEN json_type(j) = 'ARRAY' THEN j ELSE coalesce(j -> '$.lines', j -> '$.pattern.lines') END AS j FROM u),
+         l AS (SELECT id, i AS line_no, j -> ('$[' || i || ']') AS e FROM (SELECT *, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS i FROM a WHERE json_type(j) = 'ARRAY')),
+         fa AS (SELECT id, line_no, CASE WHEN json_type(f) = 'OBJECT' THEN json_array(f) ELSE f END AS f FROM (SELECT id, line_no, coalesce(e -> '$.families', e -> '$.hkl_families') AS f FROM l WHERE json_type(e) = 'OBJECT')),
+         f AS (SELECT id, line_no, f -> ('$[' || i || ']') AS e FROM (SELECT *, unnest(range(CAST(json_array_length(f) AS BIGINT))) AS i FROM fa WHERE json_type(f) = 'ARRAY'))
+       SELECT id, CAST(line_no AS INTEGER) AS line_no, count(*) AS n_families, CAST(sum(CAST(TRY_CAST(e ->> '$.multiplicity' AS DOUBLE) AS INTEGER)) AS BIGINT) AS multiplicity FROM f WHERE json_type(e) <> 'NULL' GROUP BY 1, 2""",
+)
+def family_multiplicity(spark, sf_dir):
+    """Multiplicity of every line that has families: the sum over them."""
+    return family_multiplicities(table(spark, sf_dir, "reference_patterns_pymatgen")).select("id", "line_no", "n_families", "multiplicity")
+
+
+@query(
+    "catalog_cell_search",
+    """SELECT q.file AS q, d.file FROM (SELECT file, a, b, c FROM cod_data WHERE file % 20 = 0 AND a > 0 AND b > 0 AND c > 0) q
+       JOIN cod_data d ON d.a BETWEEN q.a * (1 - 0.01) AND q.a * (1 + 0.01) AND d.b BETWEEN q.b * (1 - 0.01) AND q.b * (1 + 0.01) AND d.c BETWEEN q.c * (1 - 0.01) AND q.c * (1 + 0.01)""",
+)
+def catalog_cell_search(spark, sf_dir):
+    """For every structure whose number is divisible by 20: structures of cell lengths within 1 %."""
+    d = table(spark, sf_dir, "cod_data")
+    return cat.cell_search(d, d.where("file % 20 = 0").select(F.col("file").alias("q"), "a", "b", "c"))
+
+
+@query("catalog_recent", "SELECT file, year, sigvol, vol, gofall FROM cod_data WHERE year > 1990 AND (sigvol / nullif(vol, 0) < 0.005 OR sigvol IS NULL) AND gofall < 2.0")
+def catalog_recent(spark, sf_dir):
+    """Recent, consistent structures of a small or untold error of the volume."""
+    d = table(spark, sf_dir, "cod_data")
+    return d.where(cat.since() & (cat.well_determined() | F.col("sigvol").isNull()) & cat.consistent()).select("file", "year", "sigvol", "vol", "gofall")
+
+
+@query(
+    "spacegroup_settings",
+    """SELECT d.file, s.hm, s.class FROM cod_data d JOIN (SELECT DISTINCT sgnumber AS itcn, sg AS hm, """
+    + _SYSTEM.format("sgnumber")
+    + """ AS class FROM cod_data WHERE sgnumber IS NOT NULL AND sg IS NOT NULL) s ON d.sgnumber = s.itcn WHERE s.class = 'cubic' AND d.status IS NULL AND d.radiation = 'X-ray'""",
+)
+def spacegroup_settings(spark, sf_dir):
+    """Clean cubic structures with every setting of their space group that the catalogue uses."""
+    d = table(spark, sf_dir, "cod_data")
+    settings = d.where("sgnumber IS NOT NULL AND sg IS NOT NULL").select(F.col("sgnumber").alias("itcn"), F.col("sg").alias("hm"), cr.crystal_system("sgnumber").alias("class")).distinct()
+    return cat.with_spacegroups(cat.by_system(d, "cubic").select("file", "sgnumber"), settings).select("file", "hm", "class")
+
+
 @query("diag_buckets", "SELECT CAST(floor(n_reflections / 10.0) * 10 AS INTEGER) AS bucket, count(*) AS n, max(n_reflections) AS largest FROM reference_patterns GROUP BY 1")
 def diag_buckets(spark, sf_dir):
     return table(spark, sf_dir, "reference_patterns").groupBy((F.floor(F.col("n_reflections") / 10.0) * 10).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.max("n_reflections").alias("largest"))
@@ -562,7 +738,7 @@ def stream_upsert(spark, sf_dir):
     base = f"{shared_dir(spark)}/difframe-stream-{uuid.uuid4().hex}"
     rows.repartitionByRange(4, "snapshot_no").sortWithinPartitions("snapshot_no").write.parquet(f"{base}/in")
     upsert_stream(spark, f"{base}/in", rows.schema, f"{base}/table", ["file"], ["snapshot_no", "svnrevision"], f"{base}/checkpoint", fmt="parquet").awaitTermination()
-    return latest(spark, f"{base}/table", rows.schema)
+    return stored(spark, f"{base}/table", rows.schema).drop(BUCKET)
 
 
 # ---- sources, as round trips over the tables ------------------------------------------------------------------------

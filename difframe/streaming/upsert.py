@@ -1,14 +1,20 @@
-"""Continuous upserts of arriving files into versioned parquet snapshots."""
+"""Continuous upserts of arriving files into a bucketed table; versioned parquet snapshots of batch loads."""
 
 from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from difframe.operators.relational import best_row, upsert
+from difframe.operators.relational import best_row
+from difframe.runtime import staged, unstage
+
+#: Buckets of a stored table, and their column.
+BUCKETS, BUCKET = 64, "__bucket"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -37,21 +43,44 @@ def latest(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{base}/v{v[-1]}") if v else spark.createDataFrame([], schema)
 
 
-def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, base: str, keys: list[str], order: list[str], checkpoint: str, fmt: str = "json", max_files: int = 100, trigger: dict | None = None) -> StreamingQuery:
-    """Starts upserting files that arrive in ``source``.
+def stored(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table in buckets, with their ``bucket``; empty if nothing is stored yet."""
+    whole = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    try:
+        return spark.read.schema(whole).parquet(base)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], whole)
 
-    Batch n writes version n+1 from version n, so a repeated batch writes the same version again and changes nothing.
-    Offsets advance only after the write, so a failed batch is never recorded as loaded.  Within a batch the greatest
-    row by ``order`` wins a key.
-    """
+
+def upsert_buckets(spark: SparkSession, delta: DataFrame, base: str, keys: list[str], order: list[str], buckets: int = BUCKETS) -> int:
+    """Puts ``delta`` into the table at ``base``, which is partitioned by a hash of the keys: only buckets that hold a key
+    of ``delta`` are read and written again.  Of the rows of a key the greatest by ``order`` stays, then by the other
+    columns, so the same rows again, or older ones, change nothing.  Returns the number of buckets written."""
+    schema = delta.schema
     rest = [c for c in schema.names if c not in keys]
+    marked = staged(delta.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), "upsert-delta")
+    touched = sorted(r[0] for r in marked.select(BUCKET).distinct().collect())  # at most ``buckets``
+    if touched:
+        old = stored(spark, base, schema).where(F.col(BUCKET).isin(touched))
+        best = [*order, *(c for c in rest if c not in order)]
+        merged = staged(best_row(old.unionByName(marked), [*keys, BUCKET], best, rest).select(*schema.names, BUCKET), "upsert-merged")
+        merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(base)
+        unstage(merged)
+    unstage(marked)
+    return len(touched)
+
+
+def upsert_stream(spark: SparkSession, source: str, schema: T.StructType, base: str, keys: list[str], order: list[str], checkpoint: str, fmt: str = "json", max_files: int = 100, trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Starts upserting files that arrive in ``source`` into the bucketed table at ``base`` (``upsert_buckets``).
+
+    A repeated batch changes nothing, and offsets advance only after the write, so a failed batch is never recorded as
+    loaded.  ``order`` decides between rows of a key, within a batch and against stored ones.
+    """
 
-    def write(batch: DataFrame, n: int) -> None:
-        own = batch.sparkSession
-        before = [v for v in versions(own, base) if v <= n]
-        old = own.read.schema(schema).parquet(f"{base}/v{before[-1]}") if before else own.createDataFrame([], schema)
-        new = best_row(batch, keys, order, rest).select(*schema.names)
-        upsert(old, new, keys).write.mode("overwrite").parquet(f"{base}/v{n + 1}")
+    def write(batch: DataFrame, _: int) -> None:
+        upsert_buckets(batch.sparkSession, batch, base, keys, order, buckets)
 
     stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source)
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -78,7 +78,39 @@ def test_incremental_updates(spark, tmp_path):
     assert again.recorded and _rows(latest(spark, f"{base}/data", schemas["data"])) == [(1, "a"), (2, "B"), (3, "n")]
 
 
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+
+    from difframe.runtime import shared_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getConf = lambda self: {}
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+    Session.conf = {"spark.checkpoint.dir": "/shared/x/"}
+    assert shared_dir(Session()) == "/shared/x"
+
+
+def test_cell_search_and_settings(spark):
+    from difframe.operators.catalogue import cell_search, with_spacegroups
+
+    d = spark.createDataFrame([(1, 5.0, 6.0, 7.0, 19), (2, 5.04, 6.05, 6.94, 19), (3, 5.06, 6.0, 7.0, 20), (4, None, 6.0, 7.0, None), (5, 5.0, 0.0, 7.0, 19)], "file int, a double, b double, c double, sgnumber int")
+    q = d.select(d.file.alias("q"), "a", "b", "c")
+    got = _rows(cell_search(d, q))
+    lim = lambda x, y: all(u and v and 0.99 * u <= v <= 1.01 * u for u, v in zip(x, y, strict=True))
+    rows = [tuple(r) for r in d.collect()]
+    assert got == sorted((x[0], y[0]) for x in rows for y in rows if lim(x[1:4], y[1:4]))
+    settings = spark.createDataFrame([(19, "P 21 21 21"), (19, "other"), (None, "none")], "itcn int, hm string")
+    assert with_spacegroups(d, settings).count() == 6
+
+
 def test_runtime_helpers(spark):
     df = staged(spark.range(10), "test")
-    assert df.count() == 10 and small(df, 20).count() == 10 and small(df, 5) is df
+    assert df.count() == 10 and small(df, 20).count() == 10 and small(df, 5) is df and small(df, 20, 10) is df
     assert clear_staged(spark) >= 1

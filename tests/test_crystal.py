@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from difframe.functions import chemistry as ch
 from difframe.functions import crystal as cr
-from difframe.operators.pattern import calculate_patterns, lines_of
+from difframe.operators.pattern import calculate_patterns, lines_of, refusals
 
 
 def _one(spark, **cols):
@@ -60,8 +60,8 @@ def test_volume_and_mass(spark):
 
 def test_scattering_factors(spark):
     e = lambda t: ch.scattering_factor(ch.element_symbol(F.lit(t)), F.lit(0.0))
-    r = _one(spark, fe=e("Fe3+"), o=e("O2-"), blank=e("  "), unknown=e("Pb"), own=ch.scattering_factor(F.lit("Pb"), F.lit(0.0), {"Pb": (1, 2, 3, 4, 0, 0, 0, 0, 72)}))
-    assert r.fe == pytest.approx(26, abs=0.1) and r.o == pytest.approx(8, abs=0.1) and r.blank == 1.0 and r.unknown == 82 and r.own == 82
+    r = _one(spark, fe=e("Fe3+"), o=e("O2-"), blank=e("  "), unknown=e("Pu"), own=ch.scattering_factor(F.lit("Pb"), F.lit(0.0), {"Pb": (1, 2, 3, 4, 0, 0, 0, 0, 72)}))
+    assert r.fe == pytest.approx(26, abs=0.1) and r.o == pytest.approx(8, abs=0.1) and r.blank == 1.0 and r.unknown == 94 and r.own == 82
 
 
 def _structures(spark, rows):
@@ -69,13 +69,52 @@ def _structures(spark, rows):
 
 
 def test_copper_lines(spark):
-    cu = _structures(spark, [(1, 3.615, 3.615, 3.615, None, 90.0, 90.0, 225, "F m -3 m"), (2, 30.0, 30.0, 30.0, 90.0, 90.0, 90.0, 225, "F"), (3, None, 1.0, 1.0, 90.0, 90.0, 90.0, 225, "F"), (4, 4.0, 4.0, 4.0, 90.0, 90.0, 90.0, 0, "P")])
+    cu = _structures(spark, [(1, 3.615, 3.615, 3.615, None, 90.0, 90.0, 225, "F m -3 m"), (3, None, 1.0, 1.0, 90.0, 90.0, 90.0, 225, "F"), (4, 4.0, 4.0, 4.0, 90.0, 90.0, 90.0, 0, "P")])
     got = sorted((r.two_theta, abs(r.h), abs(r.k), abs(r.l)) for r in lines_of(cu, cr.CU_KA, hkl_max=3).collect())
     assert [x[1:] for x in got[:3]] == [(1, 1, 1), (0, 0, 2), (0, 2, 2)]
     for (t, *_), want in zip(got, (43.3, 50.4, 74.1), strict=False):
         assert t == pytest.approx(want, abs=0.1)
 
 
+def test_refusals(spark):
+    s = _structures(spark, [(1, 3.6, 3.6, 3.6, None, 90.0, 90.0, 225, "F"), (2, 30.0, 30.0, 30.0, 90.0, 90.0, 90.0, 225, "F"), (3, None, 1.0, -1.0, 90.0, 90.0, 90.0, 225, "F"), (4, 4.0, 4.0, 4.0, 90.0, 90.0, 90.0, 0, "P"), (5, 4.0, 4.0, 4.0, 90.0, 90.0, 90.0, None, "P")])
+    rows = {r.cod_id: (r.status, r.error_msg) for r in refusals(s, 20_000.0).collect()}
+    assert rows == {2: ("StructureTooLarge", "cell volume 27000"), 3: ("NoCell", "cell axes missing 1.0 -1.0"), 4: ("UnknownSystem", "space group 0"), 5: ("NoSpaceGroup", "space group missing")}
+    assert 2 not in {r.cod_id for r in refusals(s).collect()} and {r.cod_id for r in lines_of(s, cr.CU_KA, hkl_max=2).select("cod_id").distinct().collect()} == {1, 2}
+
+
+def test_sites_in_several_rows(spark, monkeypatch):
+    """Structure factors are the same however few sites travel in one row; a repeated site counts once."""
+    from difframe.operators import pattern
+
+    rows = [(1, f"A{i}", "Ti" if i % 3 else "Pb2+", i / 17, i / 23, i / 29, None if i % 2 else 0.5, 0.01 * i, "a", "m") for i in range(25)]
+    sites = spark.createDataFrame(rows + rows[:7], "cod_id int, label string, type_symbol string, fract_x double, fract_y double, fract_z double, occupancy double, u_iso_or_equiv double, wyckoff_symbol string, site_symmetry string")
+    lines = spark.createDataFrame([(1, 1, 0, 2, 2.5), (1, 2, 1, -1, 1.5), (2, 1, 1, 1, 2.0)], "cod_id int, h int, k int, l int, d double")
+    got = {}
+    for n in (500, 4):
+        monkeypatch.setattr(pattern, "SITES_A_ROW", n)
+        got[n] = {(r.cod_id, r.h): r.f_sq for r in pattern.structure_factors(lines, sites).collect()}
+    assert got[500][2, 1] is None and got[4][2, 1] is None
+    for (i, h), f in got[500].items():
+        if f is None:
+            continue
+        k, l, d = next((r.k, r.l, r.d) for r in lines.collect() if (r.cod_id, r.h) == (i, h))  # noqa: E741
+        s2, total = (1 / (2 * d)) ** 2, 0
+        for _, _, e, x, y, z, occ, u, *_ in rows:
+            c = ch.CROMER_MANN[e.rstrip("2+")]
+            fj = sum(c[j] * math.exp(-c[j + 4] * s2) for j in range(4)) + c[8]
+            total += fj * (occ or 1.0) * math.exp(-8 * math.pi**2 * u * s2) * complex(math.cos(p := 2 * math.pi * (h * x + k * y + l * z)), math.sin(p))
+        assert f == pytest.approx(abs(total) ** 2) and got[4][i, h] == pytest.approx(f)
+
+
+def test_scattering_factors_at_zero():
+    """At angle 0 a factor is near the number of electrons."""
+    for z, e in enumerate(ch.ELEMENTS, 1):
+        if e in ch.CROMER_MANN:
+            assert sum(ch.CROMER_MANN[e][:4]) + ch.CROMER_MANN[e][8] == pytest.approx(z, abs=0.12), e
+    assert len(ch.CROMER_MANN) == 85
+
+
 def _numpy_lines(cell, system, lattice, n):
     a, b, c, al, be, ga = cell
     x, y, z = (math.cos(math.radians(v)) for v in (al, be, ga))

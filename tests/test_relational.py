@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from difframe.operators import relational as rel
 from difframe.operators.search import match_phases, peak_windows, prefilter
-from difframe.streaming.upsert import latest, upsert_stream, versions
+from difframe.streaming.upsert import BUCKET, stored, upsert_buckets, upsert_stream
 
 
 def _rows(df):
@@ -62,14 +62,31 @@ def test_stream_is_idempotent(spark, tmp_path):
     src, base, cp = (str(tmp_path / x) for x in ("in", "table", "cp"))
     put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(src)
     run = lambda check=cp: upsert_stream(spark, src, schema, base, ["k"], ["rev"], check).awaitTermination()
+    table = lambda: _rows(stored(spark, base, schema).drop(BUCKET))
+    files = lambda: {str(x) for x in (tmp_path / "table").rglob("*.parquet")}
     put([(1, 1, "a"), (2, 1, "b"), (1, 2, "c")])
     run()
-    assert _rows(latest(spark, base, schema)) == [(1, 2, "c"), (2, 1, "b")] and versions(spark, base) == [1]
+    assert table() == [(1, 2, "c"), (2, 1, "b")]
+    before = files()
     run()
-    assert versions(spark, base) == [1]  # nothing new, nothing done
+    assert files() == before  # nothing new, nothing done
     put([(2, 5, "z"), (3, 1, "n")])
     run()
     want = [(1, 2, "c"), (2, 5, "z"), (3, 1, "n")]
-    assert _rows(latest(spark, base, schema)) == want
+    assert table() == want and len(files() & before) == 1  # the bucket of key 1 was left alone
     run(f"{cp}-{uuid.uuid4().hex}")  # everything again from the start: the same table
-    assert _rows(latest(spark, base, schema)) == want
+    assert table() == want
+
+
+def test_older_rows_change_nothing(spark, tmp_path):
+    base, schema = str(tmp_path / "t"), "k int, rev int, v string"
+    put = lambda *rows: upsert_buckets(spark, spark.createDataFrame(rows, schema), base, ["k"], ["rev"], 4)
+    assert put((1, 5, "a"), (None, 1, "n"), (1, 5, "b")) == 2 and put((1, 4, "old")) == 1 and put() == 0
+    assert sorted(map(tuple, stored(spark, base, spark.createDataFrame([], schema).schema).drop(BUCKET).collect()), key=str) == [(1, 5, "b"), (None, 1, "n")]
+
+
+def test_in_list_and_job_order(spark):
+    df = spark.createDataFrame([(1, 9), (2, None), (3, 4), (4, 4)], "k int, n int")
+    ids = spark.createDataFrame([(3,), (3,), (None,), (8,)], "x int")
+    assert _rows(rel.by_ids(df, ids, "k")) == [(3, 4)] and rel.by_ids(df, ids.limit(0), "k").count() == 0
+    assert [r.k for r in rel.next_jobs(df, "n", "k").collect()] == [2, 3, 4, 1] and [r.k for r in rel.next_jobs(df, "n", "k", 2).collect()] == [2, 3]
