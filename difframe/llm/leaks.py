@@ -27,7 +27,7 @@ from difframe.runtime import small, staged
 
 #: Consecutive words that make a leak.
 WIDTH = 12
-#: The Bloom filter of evaluation templates has 2 ** bits bits: 32 a window, at least 2 ** 16, at most 2 ** FILTER_BITS.
+#: The Bloom filter of evaluation templates has 2 ** bits bits: 256 a window, at least 2 ** 16, at most 2 ** FILTER_BITS.
 FILTER_BITS = 27
 
 # Words that stand for numbers and units.
@@ -215,7 +215,7 @@ def template_filter(windows: DataFrame, most_bits: int = FILTER_BITS) -> tuple[i
     """
     import numpy as np
 
-    bits = min(most_bits, max(16, (32 * max(windows.count(), 1) - 1).bit_length()))
+    bits = min(most_bits, max(16, (256 * max(windows.count(), 1) - 1).bit_length()))
     t = F.col("template")
     places = F.array(F.shiftrightunsigned(t, 64 - bits), F.shiftrightunsigned(t, 64 - 2 * bits).bitwiseAND(F.lit((1 << bits) - 1)))
     set_ = windows.select(F.explode(places).alias("p")).select(F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("bit"))
