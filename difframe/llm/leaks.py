@@ -99,16 +99,24 @@ def window_hashes(codes, width: int, multiplier: int = _MULTIPLIERS[0]):
     return h ^ (h >> np.uint64(29))
 
 
-def readings(text: str, runs: bool):
-    """The ways to read a text as words: plain and, with ``runs``, also with marked names if it has capitals inside."""
-    plain = words(text)
-    yield plain
-    if runs:
-        marked = _CAPITAL.sub(r"\1" + _MARK, text)
-        if len(marked) > len(text):
-            w = words(marked)
-            if len(w) == len(plain):
-                yield w
+def _readings(text: str, runs: bool, codes: _Codes):
+    """Yields (reading, words, codes): the plain reading and, with ``runs``, one with marked names if the text has capitals
+    inside.  The text is cut into words once; the plain reading differs at the marked words only."""
+    import numpy as np
+
+    marked = _CAPITAL.sub(r"\1" + _MARK, text.replace(_MARK, "")) if runs else text
+    w = words(marked)
+    c = np.fromiter(map(codes.__getitem__, w), "uint64", len(w))
+    if _MARK not in marked:
+        yield 0, w, c
+        return
+    plain, own = w.copy(), c.copy()
+    for i in np.flatnonzero(c == codes[_MARK]).tolist():
+        if w[i][0] == _MARK:
+            plain[i] = w[i][1:]
+            own[i] = codes[plain[i]]
+    yield 0, plain, own
+    yield 1, w, c
 
 
 def _windows(text: str, width: int, runs: bool, codes: _Codes, passes=None):
@@ -116,10 +124,9 @@ def _windows(text: str, width: int, runs: bool, codes: _Codes, passes=None):
     through.  Slots are placeholder and words, joined."""
     import numpy as np
 
-    for reading, w in enumerate(readings(text, runs)):
+    for reading, w, c in _readings(text, runs, codes):
         if len(w) < width:
             continue
-        c = np.fromiter(map(codes.__getitem__, w), "uint64", len(w))
         starts = np.arange(len(c))
         if runs:  # a run of one type is one placeholder
             again = np.zeros(len(c), bool)
@@ -157,11 +164,13 @@ def _arrow_windows(pieces_of, n_keys: int, schema, width: int, runs: bool, sent=
         if sent is not None:
             bits, table = sent.value
             table = np.frombuffer(table, "uint64")
-            top, low, mask = np.uint64(64 - bits), np.uint64(64 - 2 * bits), np.uint64((1 << bits) - 1)
+            some = table.view("uint8") != 0  # whether any of eight places in a row is set: one look for most windows
+            coarse, top, low, mask = (np.uint64(x) for x in (64 - bits + 3, 64 - bits, 64 - 2 * bits, (1 << bits) - 1))
             hit = lambda p: (table[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
 
             def passes(h):
-                at = np.flatnonzero(hit(h >> top))
+                at = np.flatnonzero(some[h >> coarse])
+                at = at[hit(h[at] >> top)]
                 return at[hit((h[at] >> low) & mask)]
 
         def flush(out):
