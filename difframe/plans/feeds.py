@@ -16,7 +16,7 @@ from difframe.operators import fit, relational, search
 from difframe.plans.catalogue import query
 from difframe.plans.reference import _BEST, _CUR, _ENDS, _HOURS, _LATEST, _PRINT, event_points, r, structures
 from difframe.runtime import shared_dir, table
-from difframe.sources import candidates, diffractogram, sinks
+from difframe.sources import candidates, diffractogram, dump, sinks
 from difframe.streaming.upsert import latest
 
 
@@ -138,18 +138,21 @@ def run_progress(spark, sf_dir):
     f"WITH {_CUR}, {_ENDS} SELECT file, formula, vol, journal FROM cur, ends WHERE snapshot_no = hi UNION ALL SELECT file, formula, vol, journal FROM cur, ends WHERE snapshot_no = lo AND file NOT IN (SELECT file FROM cur, ends WHERE snapshot_no = hi)",
 )
 def incremental_load(spark, sf_dir):
-    """The first and the last delivery as dumps, loaded as two revisions: after a dry run, and the second one twice."""
+    """The first and the last delivery as dumps, loaded as two revisions: after a dry run, and the second one twice; types
+    and key come from a table definition."""
     t = table(spark, sf_dir, "cod_data_snapshots")
     lo, hi = t.agg(F.min("snapshot_no"), F.max("snapshot_no")).first()
     base, columns = _folder(spark, "incremental"), ["file", "formula", "vol", "journal"]
-    schema = T.StructType([t.schema[c] for c in columns])
+    ddl = "-- data; (catalogue)\nCREATE TABLE IF NOT EXISTS `data` (\n `file` int(11) NOT NULL COMMENT 'number (unique), 7 digits',\n `formula` varchar(255) DEFAULT NULL,\n `vol` double, `journal` text,\n PRIMARY KEY (`file`), KEY `v` (`vol`)\n) ENGINE=MyISAM;"
+    spark.createDataFrame([(ddl,)], "value string").coalesce(1).write.text(f"{base}-ddl")
+    schemas, keys = dump.read_schemas(spark, f"{base}-ddl")
     for revision, n in enumerate((lo, hi, hi), 1):
         rows = relational.best_row(t.where(F.col("snapshot_no") == n), ["file"], ["svnrevision"], columns[1:])
         path = f"{base}-dump{revision}"
         _dump_lines(rows.select(*columns)).write.text(path)
         for dry in (True, False):
-            incremental.update(spark, {"data": path}, {"data": schema}, {"data": ["file"]}, base, min(revision, 2), dry_run=dry)
-    return latest(spark, f"{base}/data", schema)
+            incremental.update(spark, {"data": path}, schemas, keys, base, min(revision, 2), dry_run=dry)
+    return latest(spark, f"{base}/data", schemas["data"])
 
 
 def _dump_lines(df: DataFrame) -> DataFrame:
@@ -161,6 +164,22 @@ def _dump_lines(df: DataFrame) -> DataFrame:
 # ---- fits -----------------------------------------------------------------------------------------------------------
 
 
+@query(
+    "scan_maxima",
+    f"""WITH p AS (SELECT scan_id, tth, iobs AS y, row_number() OVER (PARTITION BY scan_id ORDER BY tth) - 1 AS i, sqrt(greatest(iobs, 1)) AS e FROM ({_HOURS}) WHERE scan_id IS NOT NULL),
+         g AS (SELECT *, sum(new) OVER (PARTITION BY scan_id ORDER BY i) AS run FROM (SELECT *, CASE WHEN y = lag(y) OVER (PARTITION BY scan_id ORDER BY i) THEN 0 ELSE 1 END AS new FROM p)),
+         u AS (SELECT *, lag(y) OVER (PARTITION BY scan_id ORDER BY s) AS before, lead(y) OVER (PARTITION BY scan_id ORDER BY s) AS after FROM (SELECT scan_id, run, min(i) AS s, max(i) AS t, any_value(y) AS y FROM g GROUP BY scan_id, run)),
+         m AS (SELECT scan_id, (s + t) // 2 AS i, y FROM u WHERE y > before AND y > after),
+         h AS (SELECT m.*, (SELECT coalesce(max(p.i), -1) FROM p WHERE p.scan_id = m.scan_id AND p.i < m.i AND p.y > m.y) AS l, (SELECT coalesce(min(p.i), 1000000000) FROM p WHERE p.scan_id = m.scan_id AND p.i > m.i AND p.y > m.y) AS r FROM m),
+         b AS (SELECT h.*, (SELECT min(p.y) FROM p WHERE p.scan_id = h.scan_id AND p.i > h.l AND p.i <= h.i) AS lo, (SELECT min(p.y) FROM p WHERE p.scan_id = h.scan_id AND p.i >= h.i AND p.i < h.r) AS hi FROM h)
+       SELECT b.scan_id, CAST(row_number() OVER (PARTITION BY b.scan_id ORDER BY b.i) - 1 AS INTEGER) AS peak_no, p.tth AS two_theta, p.y AS intensity FROM b JOIN p ON p.scan_id = b.scan_id AND p.i = b.i
+       JOIN (SELECT scan_id, median(e) AS e FROM p GROUP BY scan_id) n ON n.scan_id = b.scan_id WHERE b.y - greatest(b.lo, b.hi) >= 2.0 * n.e""",
+)
+def scan_maxima(spark, sf_dir):
+    """Peaks of the event scans by their prominence, however near to each other."""
+    return fit.find_peaks(fit.scan_rows(event_points(spark, sf_dir).where("scan_id IS NOT NULL")), prominence_sigma=2.0, min_distance=0.0)
+
+
 def _freed(of: str, by: int, keys: str) -> str:
     """SQL: ``of`` without its weighted share of the polynomial ``p{by}``, within ``keys``."""
     return f"{of} - p{by} * sum(w * {of} * p{by}) OVER ({keys}) / sum(w * p{by} * p{by}) OVER ({keys})"
@@ -191,6 +210,7 @@ def fit_scans(spark, sf_dir):
     merit, lines used, and whether the fit is good enough to report."""
     scans = fit.scan_rows(event_points(spark, sf_dir).where("scan_id IS NOT NULL"))
     lines = pipeline.radiation_patterns(table(spark, sf_dir, "reference_patterns")).where("cod_id % 20 = 0").where("exists(reflections, x -> x.intensity_rel > 0)").select("cod_id", "reflections")
+    # A stated set of structures for every scan.
     fits = fit.fit_candidates(scans, scans.select("scan_id").join(lines))
     good = pipeline.viable(fits).select("scan_id", "cod_id", F.lit(True).alias("viable"))
     out = fits.join(good, ["scan_id", "cod_id"], "left")

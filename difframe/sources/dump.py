@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from difframe.sources.ddl import read_ddl
+
 
 def _unescaped(c: Column) -> Column:
     """Text of an escaped field; a doubled backslash is kept apart while the others are read."""
@@ -39,3 +41,11 @@ def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Dat
 def load_if_empty(target: DataFrame | None, rows: DataFrame) -> DataFrame:
     """``rows`` unless the target already holds any: a repeated initial load changes nothing."""
     return rows if target is None or target.isEmpty() else target
+
+
+def read_schemas(spark: SparkSession, path: str) -> tuple[dict[str, T.StructType], dict[str, list[str]]]:
+    """(schemas, primary keys) by table from the table definitions of a MySQL dump's text files: what ``read_dump`` and
+    incremental loads need.  Definitions are small; data files do not belong to ``path``."""
+    texts = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
+    tables = {name: t for text in texts for name, t in read_ddl(text).items()}
+    return {n: t.schema for n, t in tables.items()}, {n: t.primary_key for n, t in tables.items()}
