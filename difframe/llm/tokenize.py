@@ -155,6 +155,6 @@ def decode_corpus(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "id
 
         enc = encoder(ranks_file, pattern)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode_bytes(x or (), enc) for x in batch.column(1).to_pylist()], pa.binary())], names=[id_col, bytes_col])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode_bytes(x.as_py() or (), enc) for x in batch.column(1)], pa.binary())], names=[id_col, bytes_col])
 
     return encoded.select(id_col, ids_col).mapInArrow(decode, schema)
