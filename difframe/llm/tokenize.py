@@ -155,6 +155,9 @@ def decode_corpus(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "id
 
         enc = encoder(ranks_file, pattern)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode_bytes(x.as_py() or (), enc) for x in batch.column(1)], pa.binary())], names=[id_col, bytes_col])
+            lists = batch.column(1)
+            flat, ends, given = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist(), lists.is_valid().to_pylist()
+            out = [enc.decode_bytes(flat[ends[i] : ends[i + 1]].tolist()) if ok else b"" for i, ok in enumerate(given)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=[id_col, bytes_col])
 
     return encoded.select(id_col, ids_col).mapInArrow(decode, schema)
