@@ -42,6 +42,7 @@ def p2_found(spark, sf_dir):
         ties=[F.col("n_reflections").desc_nulls_last(), F.col("id").asc_nulls_last()],
         n=3,
         keep=["cod_id", "id"],
+        tie_columns=["n_reflections", "id"],
     )
 
 

@@ -4,7 +4,8 @@ The leading order column is cut into bands at quantiles taken over all rows.  Ba
 down: a band is a range of the raw column, so the scan skips row groups outside it; rows of groups that are already
 full are anti-joined away before anything is shuffled or ranked; within a band an exact tie ranking gives the open
 places.  Ranking inside a band keeps at most N distinct rows of a group per task *before* the shuffle (Spark's
-WindowGroupLimit), so a group with a third of all rows sends N rows per task and no more.
+WindowGroupLimit), so a group with a third of all rows sends N rows per task and no more.  Copies of one row combine in
+their tasks before that, so a row repeated a billion times is one row per task and then one row.
 """
 
 from __future__ import annotations
@@ -31,11 +32,14 @@ def top_n_per_group(
     n: int,
     keep: list[str],
     shares: tuple[float, ...] = BAND_SHARES,
+    tie_columns: list[str] | None = None,
 ) -> DataFrame:
     """The first ``n`` distinct rows of every ``group`` by ``score`` descending (nulls last), then by ``ties``.
 
     ``score`` is numeric, a date or a timestamp; ``ties`` are ordered columns (``F.col("x").asc()``) that, with
-    ``group`` and ``score``, tell different rows apart; ``keep`` are the result's columns.
+    ``group`` and ``score``, tell different rows apart; ``keep`` are the result's columns.  ``tie_columns`` names the
+    columns that ``ties`` read: with it copies of a row combine before any of them is ranked or sent; without it they
+    combine after the ranking, which gives the same rows.
 
     Defined results: rows equal in all columns used count once; a null score ranks behind every other; NaN ranks
     above every number; null group keys form one group; groups of fewer than ``n`` rows come out whole; an empty table gives an empty
@@ -60,6 +64,8 @@ def top_n_per_group(
         if kept:
             so_far = reduce(DataFrame.unionByName, kept).groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias(have)).select(*alias, have)
             rows = rows.join(F.broadcast(_largest(df, group, so_far.where(F.col(have) >= n).drop(have), on)), on, "left_anti")
+        if tie_columns is not None:
+            rows = rows.select(*dict.fromkeys([*used, *tie_columns])).distinct()
         top = rows.withColumn(place, F.dense_rank().over(order)).where(F.col(place) <= n).select(*used, place).distinct()
         if kept:
             top = top.join(so_far, on, "left").where(F.col(place) + F.coalesce(F.col(have), F.lit(0)) <= n)

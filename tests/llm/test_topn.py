@@ -31,6 +31,18 @@ def test_equals_brute_force(spark):
         assert _top(df, n, shares) == _brute(rows, n)
 
 
+def test_copies_combine_before_they_are_ranked(spark):
+    """One row holds a third of all rows: the ranking sees it once, and the result stays the same."""
+    rnd = random.Random(6)
+    rows = [(rnd.choice([1, 2, None]), i, rnd.choice([None, rnd.randint(0, 9)]), rnd.choice([None, 1, 2])) for i in range(400)]
+    rows += [(1, 999, 30, 1)] * 200 + [(None, 998, None, None)] * 100
+    df = spark.createDataFrame(rows, "g int, id int, s int, m int").withColumn("wide", F.lit("x")).repartition(5)
+    ties = [F.col("m").desc_nulls_last(), F.col("id").asc_nulls_last()]
+    for n in (1, 3, 50):
+        got = top_n_per_group(df, ["g"], "s", ties, n, ["g", "id"], (0.25, 0.6), tie_columns=["m", "id"])
+        assert sorted((tuple(r) for r in got.collect()), key=str) == _brute(rows, n)
+
+
 def test_all_equal_and_all_null(spark):
     rows = [(1, i, 5, 1) for i in range(50)] + [(2, i, None, None) for i in range(50)]
     df = spark.createDataFrame(rows, "g int, id int, s int, m int")
