@@ -49,8 +49,8 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high:
 
 def by_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the first column of ``ids``: an IN-list of any length.  Null and repeated ids
-    add nothing, an empty list gives no rows."""
-    return df.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi").select(*df.columns)
+    add nothing (they combine before the shuffle), an empty list gives no rows."""
+    return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi").select(*df.columns)
 
 
 def next_jobs(jobs: DataFrame, size: str, key: str, limit: int | None = None) -> DataFrame:
@@ -66,12 +66,12 @@ def pending(jobs: DataFrame, done: list[DataFrame], keys: list[str]) -> DataFram
 
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` with the rows of ``delta`` put in by ``keys``: the last write wins; nothing is deleted."""
-    return base.join(delta.select(*keys), keys, "left_anti").select(*base.columns).unionByName(delta)
+    return base.join(delta.select(*keys).distinct(), keys, "left_anti").select(*base.columns).unionByName(delta)
 
 
 def insert_new(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` plus rows of ``delta`` with new keys: the first write wins."""
-    return base.unionByName(delta.join(base.select(*keys), keys, "left_anti").select(*base.columns))
+    return base.unionByName(delta.join(base.select(*keys).distinct(), keys, "left_anti").select(*base.columns))
 
 
 def replace_groups(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:

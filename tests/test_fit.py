@@ -102,6 +102,33 @@ def test_ties_and_unfittable_hits(spark):
     assert [(r.cod_id, r.n_matched) for r in pipeline.dropped(points, patterns, top=1).collect()] == [(1, 3)]
 
 
+def test_list_of_candidates(spark, tmp_path, capsys):
+    """A list in place of the catalogue: repeated, empty and null candidates, and the command line over its CSV form."""
+    from difframe.__main__ import main
+
+    kind = KIND.split(", ", 1)[1]
+    listed = spark.createDataFrame([(1, A), (2, B), (2, B[:1]), (3, C), (4, []), (5, None), (None, A)], kind)
+    points = _points(spark, 20 * _unit(B) + 100)
+    fits = pipeline.identify_listed(points, listed, min_matches=2).collect()
+    best = next(r for r in fits if r["rank"] == 1)
+    assert best.cod_id == 2 and best.rwp < 1e-3 and len({r.cod_id for r in fits}) == len(fits) <= 3
+    assert pipeline.identify_listed(points, listed.limit(0)).count() == 0
+    assert [r.cod_id for r in pipeline.identify_listed(points, listed, top=1).collect()] == [2]
+    st = spark.createDataFrame([(i, 4, "Si O2", 5.0, 5.0, 5.0, 90.0, 90.0, 90.0) for i in (1, 2, 3)], "file int, z int, formula string, a double, b double, c double, alpha double, beta double, gamma double")
+    shares = pipeline.quantify_listed(points, listed, st.withColumnRenamed("file", "cod_id"), top_k=1, min_matches=2).collect()
+    assert [(r.cod_id, round(r.weight_pct)) for r in shares] == [(2, 100)]
+
+    (tmp_path / "x.xye").write_text("\n".join(f"{r.tth} {r.iobs} {r.sigma}" for r in points.orderBy("tth").collect()))
+    listed.where("cod_id > 0").selectExpr("cod_id", "coalesce(replace(to_json(reflections), 'f_sq', 'F_sq'), '?') reflections").coalesce(1).write.csv(str(tmp_path / "list"), header=True, escape='"')
+    st.write.parquet(str(tmp_path / "st"))
+    capsys.readouterr()
+    main([str(tmp_path / "x.xye"), "--candidates", str(tmp_path / "list"), "--min-matches", "2", "--phases", "1", "--structures", str(tmp_path / "st")])
+    said = capsys.readouterr().out
+    assert "100.0" in said and "could not be read" in said
+    with pytest.raises(SystemExit):
+        main(["x.xye"])
+
+
 def test_many_candidates_of_one_scan(spark):
     cand = spark.createDataFrame([("s", i, A) for i in range(150)], KIND)
     r = fit_candidates(scan_rows(_points(spark, 10 * _unit(A) + 50 + 2 * T)), cand).collect()
